@@ -319,10 +319,6 @@ def _references(tables: dict) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _having(word: str):
-    return lambda c: {k: v for k, v in c.row_rules().items() if word in k}
-
-
 # ---- final selects ------------------------------------------------------------
 
 _DAY, _TIME, _INT, _NUM = "VARCHAR", "VARCHAR", "BIGINT", "DOUBLE"
@@ -448,8 +444,8 @@ SELECT industry, country, plan_tier, churned::DOUBLE AS churned_mrr, total::DOUB
     "check_fk_star": _references(STAR),
     "check_not_null": _rules(CLEAN, lambda c: {n: f"{n} IS NOT NULL" for n in c.not_null}),
     "check_expr": _rules(CLEAN, lambda c: c.checks),
-    "check_domain": _rules(CLEAN, _having("in domain")),
-    "check_length": _rules(CLEAN, _having("length")),
+    "check_domain": _rules(CLEAN, lambda c: c.domain_rules()),
+    "check_length": _rules(CLEAN, lambda c: c.length_rules()),
     "check_star": "\nUNION ALL\n".join([_rules(STAR, lambda c: c.row_rules()), _keys(STAR), _references(STAR)]),
     "grain_check": """
 SELECT lower(account_id) AS account_id, strftime(start_date, '%Y%m') AS month_key, count(*) AS row_count

@@ -12,7 +12,7 @@ def month_key(c: Column) -> Column:
 
 def key_to_month(key: Column) -> Column:
     """First day of the month a ``yyyymm`` key stands for."""
-    return F.make_date(F.floor(key / 100).cast("int"), (key % 100).cast("int"), F.lit(1))
+    return F.make_date(F.call_function("div", key, F.lit(100)).cast("int"), key % 100, F.lit(1))
 
 
 def month_start(c: Column) -> Column:

@@ -96,15 +96,11 @@ def check_violations(clean: Tables) -> DataFrame:
 
 def domain_violations(clean: Tables) -> DataFrame:
     checked = {n: c for n, c in CLEAN.items() if c.domains}
-    return _per_table(
-        checked, clean, lambda _, c, df: quality.check_rules(df, {k: v for k, v in c.row_rules().items() if "in domain" in k})
-    )
+    return _per_table(checked, clean, lambda _, c, df: quality.check_rules(df, c.domain_rules()))
 
 
 def length_violations(clean: Tables) -> DataFrame:
-    return _per_table(
-        CLEAN, clean, lambda _, c, df: quality.check_rules(df, {k: v for k, v in c.row_rules().items() if "length" in k})
-    )
+    return _per_table(CLEAN, clean, lambda _, c, df: quality.check_rules(df, c.length_rules()))
 
 
 def star_violations(star: Tables) -> DataFrame:

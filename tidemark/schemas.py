@@ -77,15 +77,17 @@ class Constraints:
     lengths: dict[str, int] = field(default_factory=dict)
     references: tuple[Reference, ...] = ()
 
+    def domain_rules(self) -> dict[str, str]:
+        listed = {c: ", ".join(f"'{v}'" for v in values) for c, values in self.domains.items()}
+        return {f"{c} in domain": f"{c} IN ({values})" for c, values in listed.items()}
+
+    def length_rules(self) -> dict[str, str]:
+        return {f"{c} length": f"char_length({c}) <= {n}" for c, n in self.lengths.items()}
+
     def row_rules(self) -> dict[str, str]:
         """Every constraint a single row can break, by name."""
-        rules = {f"{c} is set": f"{c} IS NOT NULL" for c in self.not_null}
-        rules.update(self.checks)
-        for c, values in self.domains.items():
-            listed = ", ".join(f"'{v}'" for v in values)
-            rules[f"{c} in domain"] = f"{c} IN ({listed})"
-        rules.update({f"{c} length": f"char_length({c}) <= {n}" for c, n in self.lengths.items()})
-        return rules
+        present = {f"{c} is set": f"{c} IS NOT NULL" for c in self.not_null}
+        return present | self.checks | self.domain_rules() | self.length_rules()
 
     def key_rules(self) -> dict[str, tuple[str, ...]]:
         return {f"{' + '.join(cols)} unique": cols for cols in (self.key, *self.unique)}
