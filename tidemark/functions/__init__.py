@@ -1,4 +1,4 @@
-from .numeric import pct, round_ratio, safe_ratio
+from .numeric import from_hundredths, hundredths, pct, round_ratio, safe_ratio
 from .parse import (
     parse_decimal,
     parse_dmy,
@@ -15,7 +15,9 @@ __all__ = [
     "blank_to_null",
     "canonicalize",
     "fold",
+    "from_hundredths",
     "hours_between",
+    "hundredths",
     "key_to_month",
     "month_end",
     "month_key",

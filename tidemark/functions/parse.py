@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .text import blank_to_null
 
 _UINT = r"^[0-9]+$"
+_ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _ISO_DATETIME = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
@@ -18,7 +19,10 @@ def parse_dmy(c: Column) -> Column:
 
 
 def parse_iso_date(c: Column) -> Column:
-    return F.try_to_date(blank_to_null(c), "yyyy-M-d")
+    """Year-month-day. The cast reads it about twice as fast as a date pattern would;
+    the guard turns away what only the cast accepts."""
+    text = blank_to_null(c)
+    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
 
 
 def parse_iso_datetime(c: Column) -> Column:

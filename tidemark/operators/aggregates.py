@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_ratio
+from ..functions.numeric import hundredths, round_ratio
 from ..functions.text import fold
 
 
@@ -39,15 +39,13 @@ def by_segment(df: DataFrame, free_text: Sequence[str], keys: Sequence[str], sum
 
 
 def measure_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    """Per key, the sum and the non-NULL count of each measure.
+    """Per key, the sum in hundredths and the non-NULL count of each measure.
 
     Averages over any coarser grouping follow from these, so the rows can be
     reduced before they meet a dimension. ``carry`` columns are constant per key.
     """
     totals = [
-        f
-        for m in measures
-        for f in (F.sum(F.col(m).cast("decimal(18,2)")).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))
+        f for m in measures for f in (F.sum(hundredths(F.col(m))).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))
     ]
     return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], *totals)
 
@@ -65,22 +63,20 @@ def profile_delta(
     three output names. Averages and differences are rounded to two decimals,
     the difference from the unrounded averages.
     """
-    kinds = {"sum": "decimal(24,2)", "n": "decimal(14,0)"}
     parts = [
-        sum_if(F.col(flag) == side, F.col(f"{m}_{what}")).cast(kind).alias(f"_{m}_{what}_{side}")
+        sum_if(F.col(flag) == side, F.col(f"{m}_{what}")).alias(f"_{m}_{what}_{side}")
         for m in measures
-        for what, kind in kinds.items()
+        for what in ("sum", "n")
         for side in (1, 0)
     ]
     grouped = by_segment(totals, free_text, keys, parts)
     out = []
     for m, (name_on, name_off, name_delta) in measures.items():
-        n1, n0 = F.col(f"_{m}_n_1"), F.col(f"_{m}_n_0")
-        # sums in hundredths, so every operand is a whole number
-        u1, u0 = ((F.col(f"_{m}_sum_{side}") * F.lit(100)).cast("decimal(22,0)") for side in (1, 0))
+        s1, s0 = (F.col(f"_{m}_sum_{side}").cast("decimal(20,0)") for side in (1, 0))
+        n1, n0 = (F.col(f"_{m}_n_{side}").cast("decimal(14,0)") for side in (1, 0))
         out += [
-            round_ratio(u1, n1 * F.lit(100), 2).alias(name_on),
-            round_ratio(u0, n0 * F.lit(100), 2).alias(name_off),
-            round_ratio(u1 * n0 - u0 * n1, n1 * n0 * F.lit(100), 2).alias(name_delta),
+            round_ratio(s1, n1 * F.lit(100), 2).alias(name_on),
+            round_ratio(s0, n0 * F.lit(100), 2).alias(name_off),
+            round_ratio(s1 * n0 - s0 * n1, n1 * n0 * F.lit(100), 2).alias(name_delta),
         ]
     return grouped.select(*free_text, *keys, *out)

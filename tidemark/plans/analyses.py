@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import pct, round_ratio, safe_ratio
+from ..functions import from_hundredths, hundredths, pct, round_ratio, safe_ratio
 from ..operators import (
     active_by_month,
     by_segment,
@@ -46,40 +46,59 @@ PROFILE = {
 }
 
 
-def account_revenue(star: Star, churned_only: bool = False) -> DataFrame:
-    """Churned and total MRR per account."""
-    fact = star["fact_subscriptions"]
-    if churned_only:
-        fact = fact.where("is_churned = 1")
-    return fact.groupBy("account_key").agg(
-        sum_if(F.col("is_churned") == 1, F.col("mrr")).alias("churned_mrr"), F.sum("mrr").alias("total_mrr")
-    )
+def _revenue() -> list[Column]:
+    """Churned and total MRR of the fact rows, in hundredths."""
+    mrr = hundredths(F.col("mrr"))
+    return [sum_if(F.col("is_churned") == 1, mrr).alias("churned"), F.sum(mrr).alias("total")]
+
 
+def _sums() -> list[Column]:
+    return [F.sum("churned").alias("churned"), F.sum("total").alias("total")]
 
-def segment_revenue(star: Star, churned_only: bool = False) -> DataFrame:
-    """Churned and total MRR by industry, country and plan tier."""
+
+def _fact(star: Star, churned_only: bool) -> DataFrame:
     fact = star["fact_subscriptions"]
-    if churned_only:
-        fact = fact.where("is_churned = 1")
+    return fact.where("is_churned = 1") if churned_only else fact
+
+
+def account_revenue(star: Star, churned_only: bool = False) -> DataFrame:
+    """``churned`` and ``total`` MRR per account, in hundredths."""
+    return _fact(star, churned_only).groupBy("account_key").agg(*_revenue())
+
+
+def account_segments(star: Star, keys: list[str], churned_only: bool = False) -> DataFrame:
+    """``churned`` and ``total`` MRR by industry and account attributes ``keys``, in hundredths."""
+    accounts = star["dim_account"].select("account_key", "industry", *keys)
+    return by_segment(account_revenue(star, churned_only).join(accounts, "account_key"), ["industry"], keys, _sums())
+
+
+def tier_segments(star: Star, churned_only: bool = False) -> DataFrame:
+    """``churned`` and ``total`` MRR by industry, country and plan tier, in hundredths."""
+    tiers = star["dim_subscription"].select("subscription_key", "plan_tier")
     per_account = (
-        fact.join(star["dim_subscription"].select("subscription_key", "plan_tier"), "subscription_key")
-        .groupBy("account_key", "plan_tier")
-        .agg(sum_if(F.col("is_churned") == 1, F.col("mrr")).alias("_churned"), F.sum("mrr").alias("_total"))
+        _fact(star, churned_only).join(tiers, "subscription_key").groupBy("account_key", "plan_tier").agg(*_revenue())
     )
     accounts = star["dim_account"].select("account_key", "industry", "country")
-    return by_segment(
-        per_account.join(accounts, "account_key"),
-        ["industry"],
-        ["country", "plan_tier"],
-        [F.sum("_churned").alias("churned_mrr"), F.sum("_total").alias("total_mrr")],
-    )
+    return by_segment(per_account.join(accounts, "account_key"), ["industry"], ["country", "plan_tier"], _sums())
+
+
+def _money(name: str, alias: str) -> Column:
+    return from_hundredths(F.col(name)).alias(alias)
+
+
+CHURNED, TOTAL = ("churned", "churned_mrr"), ("total", "total_mrr")
+
+
+def segment_revenue(star: Star) -> DataFrame:
+    """Churned and total MRR by segment."""
+    return tier_segments(star).select("industry", "country", "plan_tier", _money(*CHURNED), _money(*TOTAL))
 
 
 def q1_churned_mrr(star: Star) -> DataFrame:
     """Churned MRR by segment, ranked."""
     return (
-        segment_revenue(star, churned_only=True)
-        .drop("total_mrr")
+        tier_segments(star, churned_only=True)
+        .select("industry", "country", "plan_tier", _money(*CHURNED))
         .withColumn("revenue_loss_rank", rank_desc(F.col("churned_mrr")))
         .orderBy(F.desc("churned_mrr"))
     )
@@ -103,23 +122,19 @@ def q3_net_impact(star: Star) -> DataFrame:
     account grain before they meet, so several subscriptions of one account
     cannot repeat its refunds.
     """
-    refunds = star["fact_churn_events"].groupBy("account_key").agg(F.sum("refund_amount_usd").alias("_refunds"))
+    refunds = (
+        star["fact_churn_events"].groupBy("account_key").agg(F.sum(hundredths(F.col("refund_amount_usd"))).alias("_r"))
+    )
     per_account = (
         account_revenue(star, churned_only=True)
         .join(refunds, "account_key", "left")
         .join(star["dim_account"].select("account_key", "industry", "country"), "account_key")
     )
+    sums = [F.sum("churned").alias("churned"), F.sum(F.coalesce("_r", F.lit(0))).alias("refunds")]
     net = F.col("churned_mrr") - F.col("total_refunds")
     return (
-        by_segment(
-            per_account,
-            ["industry"],
-            ["country"],
-            [
-                F.sum("churned_mrr").alias("churned_mrr"),
-                F.sum(F.coalesce("_refunds", F.lit(0))).alias("total_refunds"),
-            ],
-        )
+        by_segment(per_account, ["industry"], ["country"], sums)
+        .select("industry", "country", _money(*CHURNED), _money("refunds", "total_refunds"))
         .withColumn("net_revenue_impact", F.round(net, 2))
         .withColumn("net_impact_rank", rank_desc(net))
         .orderBy(F.desc("net_revenue_impact"))
@@ -128,37 +143,36 @@ def q3_net_impact(star: Star) -> DataFrame:
 
 def q31_industry(star: Star) -> DataFrame:
     """Churned MRR by industry."""
-    per_account = account_revenue(star, churned_only=True).join(
-        star["dim_account"].select("account_key", "industry"), "account_key"
+    return (
+        account_segments(star, [], churned_only=True)
+        .select("industry", _money(*CHURNED))
+        .orderBy(F.desc("churned_mrr"))
     )
-    return by_segment(per_account, ["industry"], [], [F.sum("churned_mrr").alias("churned_mrr")]).orderBy(
-        F.desc("churned_mrr")
+
+
+def _quartiles(star: Star) -> DataFrame:
+    return ntile_scalable(
+        account_revenue(star), HIGH_VALUE_TILES, [F.desc("total")], [F.asc("account_key")], "account_quartile"
     )
 
 
 def account_quartiles(star: Star) -> DataFrame:
     """Accounts with their revenue and quartile by total MRR, 1 the highest; ties by account."""
-    return ntile_scalable(
-        account_revenue(star), HIGH_VALUE_TILES, [F.desc("total_mrr")], [F.asc("account_key")], "account_quartile"
-    )
+    return _quartiles(star).select("account_key", _money(*CHURNED), _money(*TOTAL), "account_quartile")
 
 
 def q4_high_value(star: Star) -> DataFrame:
     """Churn within the top MRR quartile by industry and entry tier, with the quartile's own rate."""
     top = (
-        account_quartiles(star)
+        _quartiles(star)
         .where("account_quartile = 1")
         .join(star["dim_account"].select("account_key", "industry", "initial_plan_tier"), "account_key")
     )
     churned, total = F.col("churned_mrr"), F.col("total_mrr")
     report = W.partitionBy()  # the segment lines
     return (
-        by_segment(
-            top,
-            ["industry"],
-            ["initial_plan_tier"],
-            [F.sum("churned_mrr").alias("churned_mrr"), F.sum("total_mrr").alias("total_mrr")],
-        )
+        by_segment(top, ["industry"], ["initial_plan_tier"], _sums())
+        .select("industry", "initial_plan_tier", _money(*CHURNED), _money(*TOTAL))
         .withColumn("segment_churn_rate", pct(churned, total))
         .withColumn("overall_churn_rate", pct(F.sum(churned).over(report), F.sum(total).over(report)))
         .orderBy(F.desc("segment_churn_rate"))
@@ -186,8 +200,8 @@ def q5_profile(star: Star) -> DataFrame:
 
 def rate_vs_median(star: Star) -> DataFrame:
     """Each segment's churn rate as a multiple of the median segment rate."""
-    rates = segment_revenue(star).select(
-        "industry", "country", "plan_tier", pct(F.col("churned_mrr"), F.col("total_mrr")).alias("churn_rate")
+    rates = tier_segments(star).select(
+        "industry", "country", "plan_tier", pct(F.col("churned"), F.col("total")).alias("churn_rate")
     )
     median = F.percentile("churn_rate", 0.5).over(W.partitionBy())  # over the segment lines
     # a median of values with two decimals has at most three
@@ -198,8 +212,8 @@ def rate_vs_median(star: Star) -> DataFrame:
 
 def zero_churn_segments(star: Star) -> DataFrame:
     """How many segments lost nothing, of how many."""
-    rate = pct(F.col("churned_mrr"), F.col("total_mrr"))
-    return segment_revenue(star).agg(
+    rate = pct(F.col("churned"), F.col("total"))
+    return tier_segments(star).agg(
         F.count_if(rate == 0).alias("zero_churn_segments"), F.count(F.lit(1)).alias("segments")
     )
 
@@ -270,12 +284,13 @@ def refunds_by_reason_category(star: Star) -> DataFrame:
     per_reason = (
         star["fact_churn_events"]
         .groupBy("churn_reason_key")
-        .agg(F.count(F.lit(1)).alias("_events"), F.sum("refund_amount_usd").alias("_refunds"))
+        .agg(F.count(F.lit(1)).alias("_events"), F.sum(hundredths(F.col("refund_amount_usd"))).alias("_refunds"))
     )
     return (
         per_reason.join(star["dim_churn_reason"], "churn_reason_key")
         .groupBy("reason_category")
-        .agg(F.sum("_events").alias("churn_events"), F.sum("_refunds").alias("total_refunds"))
+        .agg(F.sum("_events").alias("churn_events"), F.sum("_refunds").alias("_refunds"))
+        .select("reason_category", "churn_events", _money("_refunds", "total_refunds"))
     )
 
 
@@ -284,26 +299,23 @@ def start_cohorts(star: Star) -> DataFrame:
     return (
         star["fact_subscriptions"]
         .groupBy("start_date_key")
-        .agg(
-            F.count(F.lit(1)).alias("subscriptions"),
-            F.sum("mrr").alias("total_mrr"),
-            sum_if(F.col("is_churned") == 1, F.col("mrr")).alias("churned_mrr"),
-        )
-        .withColumn("churn_rate", pct(F.col("churned_mrr"), F.col("total_mrr")))
-    )
+        .agg(F.count(F.lit(1)).alias("subscriptions"), *_revenue())
+        .select("start_date_key", "subscriptions", _money(*TOTAL), _money(*CHURNED),
+                pct(F.col("churned"), F.col("total")).alias("churn_rate"))
+    )
 
 
 def industry_mrr_share(star: Star) -> DataFrame:
     """Each industry's share of all MRR: a window over grouped lines."""
-    per_account = account_revenue(star).join(star["dim_account"].select("account_key", "industry"), "account_key")
-    lines = by_segment(per_account, ["industry"], [], [F.sum("total_mrr").alias("total_mrr")])
-    return lines.withColumn("mrr_share", pct(F.col("total_mrr"), F.sum("total_mrr").over(W.partitionBy())))
+    return account_segments(star, []).select(
+        "industry",
+        _money(*TOTAL),
+        pct(F.col("total"), F.sum("total").over(W.partitionBy())).alias("mrr_share"),
+    )
 
 
 def industry_country_rank(star: Star) -> DataFrame:
     """Industry and country ranked by total MRR."""
-    per_account = account_revenue(star).join(
-        star["dim_account"].select("account_key", "industry", "country"), "account_key"
+    return account_segments(star, ["country"]).select(
+        "industry", "country", _money(*TOTAL), rank_desc(F.col("total")).alias("mrr_rank")
     )
-    lines = by_segment(per_account, ["industry"], ["country"], [F.sum("total_mrr").alias("total_mrr")])
-    return lines.withColumn("mrr_rank", rank_desc(F.col("total_mrr")))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import month_key, month_start
 from ..operators.keys import lookup_key, with_surrogate_key
@@ -74,9 +73,9 @@ def load_dim_subscription(bridge: DataFrame) -> DataFrame:
 
 
 def reason_seed(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType() if kind == "string" else T.IntegerType())
-                           for c, kind in STAR_TYPES["dim_churn_reason"].items()])
-    return spark.createDataFrame(list(CHURN_REASONS), schema)
+    """The fixed reason rows as an inline table."""
+    rows = ", ".join("(" + ", ".join("NULL" if v is None else repr(v) for v in row) + ")" for row in CHURN_REASONS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS r({', '.join(STAR_TYPES['dim_churn_reason'])})")
 
 
 def load_dim_churn_reason(spark: SparkSession) -> DataFrame:
