@@ -33,7 +33,7 @@ def by_segment(df: DataFrame, free_text: Sequence[str], keys: Sequence[str], sum
     totals = [f for f in lines.schema.fields if f.name not in {*free_text, *keys}]
     merged = lines.groupBy(*[fold(F.col(c)).alias(f"_{c}") for c in free_text], *keys).agg(
         *[F.min(c).alias(c) for c in free_text],
-        *[F.sum(f.name).cast(f.dataType).alias(f.name) for f in totals],
+        *[F.expr(f"cast(sum({f.name}) AS {f.dataType.simpleString()}) AS {f.name}") for f in totals],
     )
     return merged.select(*free_text, *keys, *[f.name for f in totals])
 
@@ -44,9 +44,7 @@ def measure_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
     Averages over any coarser grouping follow from these, so the rows can be
     reduced before they meet a dimension. ``carry`` columns are constant per key.
     """
-    totals = [
-        f for m in measures for f in (F.sum(hundredths(F.col(m))).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))
-    ]
+    totals = [f for m in measures for f in (F.sum(hundredths(m)).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
     return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], *totals)
 
 
@@ -64,7 +62,7 @@ def profile_delta(
     the difference from the unrounded averages.
     """
     parts = [
-        sum_if(F.col(flag) == side, F.col(f"{m}_{what}")).alias(f"_{m}_{what}_{side}")
+        F.expr(f"sum(if({flag} = {side}, {m}_{what}, 0)) AS _{m}_{what}_{side}")
         for m in measures
         for what in ("sum", "n")
         for side in (1, 0)
@@ -72,11 +70,11 @@ def profile_delta(
     grouped = by_segment(totals, free_text, keys, parts)
     out = []
     for m, (name_on, name_off, name_delta) in measures.items():
-        s1, s0 = (F.col(f"_{m}_sum_{side}").cast("decimal(20,0)") for side in (1, 0))
-        n1, n0 = (F.col(f"_{m}_n_{side}").cast("decimal(14,0)") for side in (1, 0))
+        s1, s0 = (f"cast(_{m}_sum_{side} AS decimal(20,0))" for side in (1, 0))
+        n1, n0 = (f"cast(_{m}_n_{side} AS decimal(14,0))" for side in (1, 0))
         out += [
-            round_ratio(s1, n1 * F.lit(100), 2).alias(name_on),
-            round_ratio(s0, n0 * F.lit(100), 2).alias(name_off),
-            round_ratio(s1 * n0 - s0 * n1, n1 * n0 * F.lit(100), 2).alias(name_delta),
+            round_ratio(s1, f"{n1} * 100", 2).alias(name_on),
+            round_ratio(s0, f"{n0} * 100", 2).alias(name_off),
+            round_ratio(f"({s1} * {n0} - {s0} * {n1})", f"{n1} * {n0} * 100", 2).alias(name_delta),
         ]
     return grouped.select(*free_text, *keys, *out)

@@ -52,9 +52,9 @@ def check_fk(child: DataFrame, parent: DataFrame, column: str, parent_column: st
 
 def check_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Violations of every rule in one pass over the table: rows (rule, violations)."""
-    counts = [F.count_if(~F.coalesce(F.expr(p), F.lit(True))).alias(f"r{i}") for i, p in enumerate(rules.values())]
-    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations")) for i, name in enumerate(rules)]
-    return df.agg(*counts).select(F.inline(F.array(*pairs)))
+    counts = [F.expr(f"count_if(NOT coalesce({p}, true)) AS r{i}") for i, p in enumerate(rules.values())]
+    pairs = ", ".join(f"struct('{name}' AS rule, r{i} AS violations)" for i, name in enumerate(rules))
+    return df.agg(*counts).selectExpr(f"inline(array({pairs}))")
 
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -104,14 +104,12 @@ def audit(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFra
 
 
 def summed(findings: DataFrame, rule: str) -> DataFrame:
-    return findings.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations")).select(
-        F.lit(rule).alias("rule"), "violations"
-    )
+    return findings.agg(F.expr("coalesce(sum(n_rows), 0L) AS violations")).selectExpr(f"'{rule}' AS rule", "violations")
 
 
 def tag_violations(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Every row with ``violations``, the names of the rules it breaks."""
-    failed = [F.when(~F.coalesce(F.expr(p), F.lit(True)), F.lit(name)) for name, p in constraints.row_rules().items()]
+    failed = [F.expr(f"if(coalesce({p}, true), NULL, '{name}')") for name, p in constraints.row_rules().items()]
     tagged = df
     for i, (name, cols) in enumerate(constraints.key_rules().items()):
         match = [f"_k{i}_{j}" for j in range(len(cols))]

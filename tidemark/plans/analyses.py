@@ -48,7 +48,7 @@ PROFILE = {
 
 def _revenue() -> list[Column]:
     """Churned and total MRR of the fact rows, in hundredths."""
-    mrr = hundredths(F.col("mrr"))
+    mrr = hundredths("mrr")
     return [sum_if(F.col("is_churned") == 1, mrr).alias("churned"), F.sum(mrr).alias("total")]
 
 
@@ -83,7 +83,7 @@ def tier_segments(star: Star, churned_only: bool = False) -> DataFrame:
 
 
 def _money(name: str, alias: str) -> Column:
-    return from_hundredths(F.col(name)).alias(alias)
+    return from_hundredths(name).alias(alias)
 
 
 CHURNED, TOTAL = ("churned", "churned_mrr"), ("total", "total_mrr")
@@ -106,11 +106,10 @@ def q1_churned_mrr(star: Star) -> DataFrame:
 
 def q2_churn_rate(star: Star) -> DataFrame:
     """Share of MRR lost by segment, ranked by the unrounded share."""
-    churned, total = F.col("churned_mrr"), F.col("total_mrr")
     return (
         segment_revenue(star)
-        .withColumn("churn_rate", pct(churned, total))
-        .withColumn("churn_rate_rank", rank_desc(safe_ratio(churned, total)))
+        .withColumn("churn_rate", pct("churned_mrr", "total_mrr"))
+        .withColumn("churn_rate_rank", rank_desc(safe_ratio("churned_mrr", "total_mrr")))
         .orderBy("churn_rate_rank")
     )
 
@@ -123,7 +122,7 @@ def q3_net_impact(star: Star) -> DataFrame:
     cannot repeat its refunds.
     """
     refunds = (
-        star["fact_churn_events"].groupBy("account_key").agg(F.sum(hundredths(F.col("refund_amount_usd"))).alias("_r"))
+        star["fact_churn_events"].groupBy("account_key").agg(F.sum(hundredths("refund_amount_usd")).alias("_r"))
     )
     per_account = (
         account_revenue(star, churned_only=True)
@@ -168,13 +167,12 @@ def q4_high_value(star: Star) -> DataFrame:
         .where("account_quartile = 1")
         .join(star["dim_account"].select("account_key", "industry", "initial_plan_tier"), "account_key")
     )
-    churned, total = F.col("churned_mrr"), F.col("total_mrr")
-    report = W.partitionBy()  # the segment lines
+    # the benchmark sums over the segment lines
     return (
         by_segment(top, ["industry"], ["initial_plan_tier"], _sums())
         .select("industry", "initial_plan_tier", _money(*CHURNED), _money(*TOTAL))
-        .withColumn("segment_churn_rate", pct(churned, total))
-        .withColumn("overall_churn_rate", pct(F.sum(churned).over(report), F.sum(total).over(report)))
+        .withColumn("segment_churn_rate", pct("churned_mrr", "total_mrr"))
+        .withColumn("overall_churn_rate", pct("sum(churned_mrr) OVER ()", "sum(total_mrr) OVER ()"))
         .orderBy(F.desc("segment_churn_rate"))
     )
 
@@ -201,18 +199,18 @@ def q5_profile(star: Star) -> DataFrame:
 def rate_vs_median(star: Star) -> DataFrame:
     """Each segment's churn rate as a multiple of the median segment rate."""
     rates = tier_segments(star).select(
-        "industry", "country", "plan_tier", pct(F.col("churned"), F.col("total")).alias("churn_rate")
+        "industry", "country", "plan_tier", pct("churned", "total").alias("churn_rate")
     )
     median = F.percentile("churn_rate", 0.5).over(W.partitionBy())  # over the segment lines
     # a median of values with two decimals has at most three
     return rates.withColumn("median_rate", median.cast("decimal(10,3)")).withColumn(
-        "times_median", round_ratio(F.col("churn_rate"), F.col("median_rate"), 2, scale=3)
+        "times_median", round_ratio("churn_rate", "median_rate", 2, scale=3)
     )
 
 
 def zero_churn_segments(star: Star) -> DataFrame:
     """How many segments lost nothing, of how many."""
-    rate = pct(F.col("churned"), F.col("total"))
+    rate = pct("churned", "total")
     return tier_segments(star).agg(
         F.count_if(rate == 0).alias("zero_churn_segments"), F.count(F.lit(1)).alias("segments")
     )
@@ -244,7 +242,7 @@ def refund_share(star: Star) -> DataFrame:
         "country",
         "churned_mrr",
         "total_refunds",
-        pct(F.col("total_refunds"), F.col("churned_mrr")).alias("refund_pct"),
+        pct("total_refunds", "churned_mrr").alias("refund_pct"),
     )
 
 
@@ -284,7 +282,7 @@ def refunds_by_reason_category(star: Star) -> DataFrame:
     per_reason = (
         star["fact_churn_events"]
         .groupBy("churn_reason_key")
-        .agg(F.count(F.lit(1)).alias("_events"), F.sum(hundredths(F.col("refund_amount_usd"))).alias("_refunds"))
+        .agg(F.count(F.lit(1)).alias("_events"), F.sum(hundredths("refund_amount_usd")).alias("_refunds"))
     )
     return (
         per_reason.join(star["dim_churn_reason"], "churn_reason_key")
@@ -301,7 +299,7 @@ def start_cohorts(star: Star) -> DataFrame:
         .groupBy("start_date_key")
         .agg(F.count(F.lit(1)).alias("subscriptions"), *_revenue())
         .select("start_date_key", "subscriptions", _money(*TOTAL), _money(*CHURNED),
-                pct(F.col("churned"), F.col("total")).alias("churn_rate"))
+                pct("churned", "total").alias("churn_rate"))
     )
 
 
@@ -310,7 +308,7 @@ def industry_mrr_share(star: Star) -> DataFrame:
     return account_segments(star, []).select(
         "industry",
         _money(*TOTAL),
-        pct(F.col("total"), F.sum("total").over(W.partitionBy())).alias("mrr_share"),
+        pct("total", "sum(total) OVER ()").alias("mrr_share"),
     )
 
 

@@ -69,9 +69,7 @@ def monthly_feature(usage: DataFrame) -> DataFrame:
             F.sum("error_count").alias("total_error_count"),
             sum_if(F.col("is_beta_feature"), F.lit(1)).alias("beta_feature_usage_count"),
         )
-        .withColumn(
-            "avg_usage_duration_secs", round_ratio(F.col("total_usage_duration_secs"), F.col("_timed_rows"), 2)
-        )
+        .withColumn("avg_usage_duration_secs", round_ratio("total_usage_duration_secs", "_timed_rows", 2))
         .drop("_timed_rows")
     )
 
@@ -95,8 +93,8 @@ def ticket_monthly(tickets: DataFrame) -> DataFrame:
             F.sum("satisfaction_score").alias("_score"),
             F.count("satisfaction_score").alias("_scored"),
         )
-        .withColumn("avg_resolution_hours", round_ratio(F.col("_hours"), F.col("_closed"), 2))
-        .withColumn("avg_satisfaction_score", round_ratio(F.col("_score"), F.col("_scored"), 2))
+        .withColumn("avg_resolution_hours", round_ratio("_hours", "_closed", 2))
+        .withColumn("avg_satisfaction_score", round_ratio("_score", "_scored", 2))
         .drop("_hours", "_closed", "_score", "_scored")
     )
 
@@ -130,7 +128,6 @@ def build_fact_subscription_usage(usage: DataFrame, tickets: DataFrame, bridge:
     )
     trend = with_engagement_trend(monthly_feature(usage).join(owner, "subscription_id"))
     combined = trend.join(ticket_monthly(tickets), ["account_id", "date_key"], "left")
-    errors, uses = F.col("total_error_count"), F.col("total_usage_count")
-    return as_typed(
-        combined.withColumn("error_rate", F.when(uses > 0, round_ratio(errors, uses, 4))), "fact_subscription_usage"
-    )
+    # no rate without usage
+    rate = round_ratio("total_error_count", "total_usage_count", 4)
+    return as_typed(combined.withColumn("error_rate", rate), "fact_subscription_usage")
