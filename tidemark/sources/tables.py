@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import LAYERS
 
-# A table is bucketed so that one bucket sorts comfortably inside one task.
-ROWS_PER_BUCKET = 4_000_000
+# One bucket is one task of a join: small enough to spread a mid-sized table over a cluster.
+ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 8192
 # One output file is only written for results of at most this many rows.
 SINGLE_FILE_ROWS = 1_000_000
