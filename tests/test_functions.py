@@ -106,7 +106,8 @@ def test_ratios_match_exact_arithmetic(spark, digits):
 
 
 def test_percentages_of_money(spark):
-    df = spark.createDataFrame([(Decimal("1.25"), Decimal("3.00")), (Decimal("0"), Decimal("0"))], "a decimal(22,2), b decimal(22,2)")
+    rows = [(Decimal("1.25"), Decimal("3.00")), (Decimal("0"), Decimal("0"))]
+    df = spark.createDataFrame(rows, "a decimal(22,2), b decimal(22,2)")
     assert [r[0] for r in df.select(fn.pct("a", "b")).collect()] == [Decimal("41.67"), None]
     assert [r[0] for r in df.select(fn.safe_ratio("b", "a")).collect()] == [Decimal("2.4"), None]
     assert Decimal("2.675").quantize(Decimal("0.01"), ROUND_HALF_UP) == Decimal("2.68")

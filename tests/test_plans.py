@@ -37,7 +37,8 @@ def plan(df) -> str:
 
 
 def full(df) -> str:
-    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
 
 
 @pytest.fixture(scope="module")

@@ -45,6 +45,8 @@ def test_tables_append_overwrite_partition_and_reset(spark, tmp_path):
     reset_layer(spark, "star", "t")
     assert not spark.catalog.tableExists("tidemark_star_t.fact_subscription_usage")
     reset_layer(spark, "star", "never_created")
+    with pytest.raises(ValueError, match="no table"):
+        write_table(df, "star", "fact_subscription_usage", root, "append", partition_by="date_key", tag="t")
 
 
 def test_bucket_counts_follow_the_rows():

@@ -16,7 +16,6 @@ from .plans import facts
 from .plans import validation as v
 from .plans.warehouse import Warehouse
 from .schemas import CHURN_REASONS, CLEAN, RAW_COLUMNS, STAR, UNKNOWN_REASON_KEY
-from .session import shared_dir
 from .sources import land_raw, publish, read_raw, testtables
 
 Query = Callable[[SparkSession, str], DataFrame]

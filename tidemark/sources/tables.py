@@ -35,8 +35,9 @@ def write_table(
     bucket_by: tuple[int, str] | None = None,
     tag: str = "",
 ) -> DataFrame:
-    """Store ``df`` as Parquet table ``name`` of ``layer`` under ``root``; ``mode="append"`` adds rows.
+    """Store ``df`` as Parquet table ``name`` of ``layer`` under ``root``.
 
+    ``mode="append"`` adds rows to a table the catalog knows; it never creates one.
     A partitioned table is rebalanced by its partition column first: adaptive
     execution merges small partitions and splits a large one, so the file count
     stays low without one task writing a whole busy month. A bucketed table is
@@ -45,6 +46,8 @@ def write_table(
     spark = df.sparkSession
     db = database(layer, tag)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    if mode == "append" and not spark.catalog.tableExists(f"{db}.{name}"):
+        raise ValueError(f"cannot append: no table {db}.{name}")
     if partition_by:
         df = df.hint("rebalance", partition_by)
     if bucket_by:
@@ -63,7 +66,10 @@ def read_table(spark: SparkSession, layer: str, name: str, tag: str = "") -> Dat
 
 
 def reset_layer(spark: SparkSession, layer: str, tag: str = "") -> None:
-    """Drop the layer's tables, those that refer to others first. It validates nothing."""
+    """Drop the layer's tables, those that refer to others first. It validates nothing.
+
+    The tables are external: their files stay until the next overwrite.
+    """
     db = database(layer, tag)
     if spark.catalog.databaseExists(db):
         for name in reversed(list(LAYERS[layer])):
