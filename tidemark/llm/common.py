@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
@@ -14,6 +16,14 @@ BLOCK_ROWS = 256
 NULL_ID = (1 << 63) - 1
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if nothing else does."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, whatever else the table holds; null text becomes empty."""
     return docs.select(

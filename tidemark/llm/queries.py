@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pieces, urls
+from . import packing, pieces, rlz, simhash, urls
+from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -35,6 +37,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(found)
 
 
+def op2_rlz_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document without the passages that earlier documents hold."""
+    return rlz.remove(table(spark, folder, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's URL under the fixed rules."""
     return urls.judge(table(spark, folder, "pages"), urls.rule_table(spark, URL_RULES))
@@ -45,6 +52,11 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 _OP4 = """
 WITH u AS (
   SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
