@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pieces, rlz, simhash, urls
+from . import packing, pieces, rlz, simhash, suffixes, urls
 from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document without strings of 400 bytes that occur elsewhere."""
+    return suffixes.remove(table(spark, folder, "documents"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
