@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, pieces, rlz, simhash, suffixes, urls
+from . import packing, pieces, quality, rlz, secrets, simhash, suffixes, urls
 from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,23 @@ def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+HELD_OUT = "coalesce(crc32(cast(doc_id AS string)) % 5 = 0, false)"
+
+
+def quality_weights(spark: SparkSession, folder: str):
+    """The quality model, fitted on labels of rows that are not held out."""
+    labels = table(spark, folder, "labels").where(f"NOT {HELD_OUT}").select("doc_id", F.col("quality").alias("label"))
+    return quality.train(table(spark, folder, "documents"), labels)
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    scores = quality.score(table(spark, folder, "documents"), quality_weights(spark, folder))
+    return scores.select(
+        "doc_id", F.expr(HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
     return pieces.digests(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -62,6 +80,11 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
 _OP4 = """
 WITH u AS (
   SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
