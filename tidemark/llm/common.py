@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
@@ -24,6 +24,11 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, whatever else the table holds; null text becomes empty."""
     return docs.select(

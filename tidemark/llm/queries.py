@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, quality, rlz, secrets, simhash, suffixes, urls
+from . import mtree, packing, pieces, quality, rlz, secrets, simhash, spotsigs, suffixes, urls
 from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +43,21 @@ def op2_rlz_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rlz.remove(table(spark, folder, "documents"))
 
 
+def op3_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and their likeness."""
+    return spotsigs.fingerprints(table(spark, folder, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's URL under the fixed rules."""
     return urls.judge(table(spark, folder, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 greatest inner products of every twentieth vector."""
+    return mtree.top_k(table(spark, folder, "embeddings"))
+
+
 HELD_OUT = "coalesce(crc32(cast(doc_id AS string)) % 5 = 0, false)"
 
 
@@ -109,10 +119,24 @@ FROM h LEFT JOIN best ON h.host = best.host AND h.path = best.path
 """
 
 
+_OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Query]:
     own = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": _OP4}
+    return {"op4_url_filters": _OP4, "op5_top_k": _OP5}

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 # Kinds in their order, patterns, and the least characters of a match (of its value).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run of at least 20: shorter runs hold no longer one
@@ -70,8 +72,9 @@ def places(text: Column, pattern: str, kind: int, value_group: int = 0, least: i
 
 def most_entropy(candidate: Column) -> Column:
     """The greatest Shannon entropy, in bits, of ``WINDOW`` consecutive characters of ``candidate``."""
-    chars = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    chars = F.filter(chars, lambda c: c > 0)
+    chars = F.filter(
+        F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c)), lambda c: c > 0
+    )
 
     def term(c: Column) -> Column:
         return F.when(c > 0, c * F.log2(c)).otherwise(0.0)
@@ -91,20 +94,22 @@ def most_entropy(candidate: Column) -> Column:
         best = F.when(full, F.least(acc["best"], total)).otherwise(acc["best"])
         return F.struct(moved.alias("counts"), total.alias("total"), best.alias("best"))
 
-    steps = F.transform(
-        chars,
-        lambda c, i: F.struct(
-            c.alias("into"),
-            F.when(i >= WINDOW, F.element_at(chars, F.greatest(i - WINDOW + 1, F.lit(1)))).otherwise(0).alias("out"),
-            (i + 1).alias("nth"),
-        ),
-    )
+    def pairs(chars: Column) -> Column:
+        return F.transform(
+            chars,
+            lambda c, i: F.struct(
+                c.alias("into"),
+                F.when(i >= WINDOW, F.element_at(chars, F.greatest(i - WINDOW + 1, F.lit(1)))).otherwise(0).alias("out"),
+                (i + 1).alias("nth"),
+            ),
+        )
+
     start = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(1e9).alias("best"),
     )
-    least = F.aggregate(steps, start, step)["best"]
+    least = F.aggregate(let(chars, pairs), start, step)["best"]
     # H = log2(W) - sum(c * log2(c)) / W; a window that never filled has none
     return F.log2(F.lit(float(WINDOW))) - least / WINDOW
 
