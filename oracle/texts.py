@@ -6,8 +6,19 @@ from __future__ import annotations
 
 import re
 
-from tidemark.schemas import CHURN_REASONS, CLEAN, PLAN_TIERS, RAW_COLUMNS, STAR
-from tidemark.sources.testtables import RAW_SQL, SOURCES
+from tidemark.sources.testtables import DAMAGED_SQL, RAW_SQL, SOURCES
+
+from . import rules as r
+
+# Churn reasons.
+CHURN_REASONS = (
+    (1, "unknown", "Unknown/Not Captured", None),
+    (2, "pricing", "Pricing / Cost Concerns", "Commercial"),
+    (3, "budget", "Budget Constraints", "Commercial"),
+    (4, "competitor", "Moved to Competitor", "Commercial"),
+    (5, "support", "Poor Support Experience", "Product & Experience"),
+    (6, "features", "Missing Features", "Product & Experience"),
+)
 
 
 def ratio(num: str, den: str, digits: int = 2) -> str:
@@ -54,7 +65,7 @@ def _trim(c: str) -> str:
     return f"trim({c}) AS {c}"
 
 
-_TIERS = ", ".join(f"'{tier.lower()}': '{tier}'" for tier in PLAN_TIERS)
+_TIERS = "'basic': 'Basic', 'pro': 'Pro', 'enterprise': 'Enterprise'"
 _TIER = f"MAP {{{_TIERS}}}[lower(trim(plan_tier))] AS plan_tier"
 
 
@@ -138,28 +149,27 @@ FROM (
           date_trunc('month', greatest(coalesce(max(end_date), max(start_date)), max(start_date)))::TIMESTAMP AS hi
         FROM subscriptions) AS b) AS s"""
 CTES["dim_account"] = """
-SELECT row_number() OVER (ORDER BY account_id) AS account_key, account_id, account_name, industry, country,
+SELECT row_number() OVER (ORDER BY account_id NULLS FIRST) AS account_key, account_id, account_name, industry, country,
   plan_tier AS initial_plan_tier
 FROM accounts"""
+CTES["keyed_subscriptions"] = "SELECT row_number() OVER (ORDER BY subscription_id NULLS FIRST) AS subscription_key, * FROM subscriptions"
 CTES["dim_subscription"] = """
-SELECT row_number() OVER (ORDER BY subscription_id) AS subscription_key, subscription_id, plan_tier,
-  seats::BIGINT AS seats, is_trial, billing_frequency
-FROM subscriptions"""
+SELECT subscription_key, subscription_id, plan_tier, seats::BIGINT AS seats, is_trial, billing_frequency
+FROM keyed_subscriptions"""
 CTES["dim_churn_reason"] = "SELECT * FROM (VALUES {}) AS r(churn_reason_key, reason_code, reason_label, reason_category)".format(
     ", ".join(
         "({}, '{}', '{}', {})".format(k, code, label, f"'{cat}'" if cat else "NULL") for k, code, label, cat in CHURN_REASONS
     )
 )
 CTES["fact_subscriptions"] = """
-SELECT d.subscription_key, a.account_key, (year(s.start_date) * 100 + month(s.start_date))::BIGINT AS start_date_key,
+SELECT s.subscription_key, a.account_key, (year(s.start_date) * 100 + month(s.start_date))::BIGINT AS start_date_key,
   (year(s.end_date) * 100 + month(s.end_date))::BIGINT AS end_date_key, s.mrr_amount AS mrr,
   s.churn_flag::BIGINT AS is_churned, s.upgrade_flag::BIGINT AS is_upgraded,
   s.downgrade_flag::BIGINT AS is_downgraded, s.auto_renew_flag::BIGINT AS auto_renew_flag
-FROM subscriptions AS s
-JOIN dim_account AS a ON lower(s.account_id) = lower(a.account_id)
-JOIN dim_subscription AS d ON lower(s.subscription_id) = lower(d.subscription_id)"""
+FROM keyed_subscriptions AS s
+JOIN dim_account AS a ON lower(s.account_id) = lower(a.account_id)"""
 CTES["fact_churn_events"] = """
-SELECT row_number() OVER (ORDER BY e.churn_event_id) AS churn_event_key, e.churn_event_id, a.account_key,
+SELECT row_number() OVER (ORDER BY e.churn_event_id NULLS FIRST) AS churn_event_key, e.churn_event_id, a.account_key,
   (year(e.churn_date) * 100 + month(e.churn_date))::BIGINT AS churn_date_key,
   coalesce(r.churn_reason_key, 1)::BIGINT AS churn_reason_key, e.refund_amount_usd,
   e.is_reactivation::BIGINT AS is_reactivation, e.preceding_upgrade_flag::BIGINT AS preceding_upgrade_flag,
@@ -184,7 +194,7 @@ SELECT lower(account_id) AS account_id, (year(submitted_at) * 100 + month(submit
   {ratio("sum(satisfaction_score)", "count(satisfaction_score)")} AS avg_satisfaction_score
 FROM support_tickets GROUP BY 1, 2"""
 CTES["fact_subscription_usage"] = f"""
-SELECT m.date_key, a.account_key, d.subscription_key, m.active_days, m.feature_adoption_count, m.total_usage_count,
+SELECT m.date_key, a.account_key, s.subscription_key, m.active_days, m.feature_adoption_count, m.total_usage_count,
   m.total_usage_duration_secs, m.avg_usage_duration_secs, m.total_error_count, m.beta_feature_usage_count,
   CASE WHEN m.total_usage_count > 0 THEN {ratio("m.total_error_count", "m.total_usage_count", 4)} END AS error_rate,
   m.active_days - lag(m.active_days) OVER w AS mom_active_days_delta,
@@ -192,11 +202,10 @@ SELECT m.date_key, a.account_key, d.subscription_key, m.active_days, m.feature_a
   t.support_tickets_opened, t.support_tickets_unresolved_eom, t.avg_resolution_hours, t.avg_satisfaction_score,
   s.churn_flag::BIGINT AS is_churned
 FROM monthly_feature AS m
-JOIN subscriptions AS s ON m.subscription_id = lower(s.subscription_id)
-JOIN dim_subscription AS d ON m.subscription_id = lower(d.subscription_id)
+JOIN keyed_subscriptions AS s ON m.subscription_id = lower(s.subscription_id)
 JOIN dim_account AS a ON lower(s.account_id) = lower(a.account_id)
 LEFT JOIN ticket_monthly AS t ON lower(s.account_id) = t.account_id AND m.date_key = t.date_key
-WINDOW w AS (PARTITION BY d.subscription_key ORDER BY m.date_key)"""
+WINDOW w AS (PARTITION BY m.subscription_id ORDER BY m.date_key)"""
 
 # ---- analyses -----------------------------------------------------------------
 
@@ -279,46 +288,73 @@ def _profile() -> str:
 # ---- checks -------------------------------------------------------------------
 
 
-def _rules(tables: dict, pick) -> str:
+_TEXT_KEYS = {"account_id", "subscription_id", "usage_id", "churn_event_id", "ticket_id", "reason_code"}
+
+
+def _cmp(c: str) -> str:
+    return f"lower({c})" if c in _TEXT_KEYS else c
+
+
+def _at(alias: str, c: str) -> str:
+    return f"lower({alias}.{c})" if c in _TEXT_KEYS else f"{alias}.{c}"
+
+
+def _rules(tables: tuple, pick) -> str:
     parts = [
         f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE NOT coalesce({predicate}, true)) AS violations, "
         f"'{table}' AS table_name FROM {table}"
-        for table, constraints in tables.items()
-        for rule, predicate in pick(constraints).items()
+        for table in tables
+        for rule, predicate in pick(table).items()
     ]
     return "\nUNION ALL\n".join(parts)
 
 
-_TEXT_KEYS = {"account_id", "subscription_id", "usage_id", "churn_event_id", "ticket_id", "reason_code"}
-
-
-def _cmp(c: str) -> str:
-    return f"lower({c})" if c in _TEXT_KEYS else c
+def _groups(table: str, key: str, source: str) -> str:
+    """Values of a key on several rows, or incomplete, with their rows."""
+    columns = key.split()
+    shown = ", ".join(f"{_cmp(c)} AS {c}" for c in columns)
+    missing = " OR ".join(f"bool_or({c} IS NULL)" for c in columns)
+    return f"SELECT {shown}, count(*) AS n FROM {source} GROUP BY {', '.join(map(_cmp, columns))} HAVING count(*) > 1 OR {missing}"
 
 
-def _keys(tables: dict) -> str:
-    parts = []
-    for table, constraints in tables.items():
-        for rule, cols in constraints.key_rules().items():
-            keys = ", ".join(_cmp(c) for c in cols)
-            missing = " OR ".join(f"bool_or({c} IS NULL)" for c in cols)
-            parts.append(
-                f"SELECT '{rule}' AS rule, coalesce(sum(n), 0)::BIGINT AS violations, '{table}' AS table_name "
-                f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1 OR {missing}) AS t"
-            )
+def _keys(tables: tuple) -> str:
+    parts = [
+        f"SELECT '{' + '.join(key.split())} unique' AS rule, coalesce(sum(n), 0)::BIGINT AS violations, "
+        f"'{table}' AS table_name FROM ({_groups(table, key, table)}) AS t"
+        for table in tables
+        for key in r.KEYS[table]
+    ]
     return "\nUNION ALL\n".join(parts)
 
 
-def _references(tables: dict) -> str:
+def _references(tables: tuple) -> str:
     parts = [
-        f"SELECT '{r.column} in {r.parent}' AS rule, count(*) AS violations, '{table}' AS table_name FROM {table} "
-        f"WHERE {r.column} IS NOT NULL AND {_cmp(r.column)} NOT IN (SELECT {_cmp(r.parent_column)} FROM {r.parent})"
-        for table, constraints in tables.items()
-        for r in constraints.references
+        f"SELECT '{column} in {parent}' AS rule, count(*) AS violations, '{table}' AS table_name FROM {table} AS c "
+        f"WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} AS p WHERE {_at('p', own)} = {_at('c', column)})"
+        for table in tables
+        for column, parent, own in r.REFERENCES.get(table, [])
     ]
     return "\nUNION ALL\n".join(parts)
 
 
+def _tagged(table: str, source: str) -> str:
+    """All rows of ``source`` with the names of the rules they break, joined; parents hold accepted rows only."""
+    failed = [f"CASE WHEN NOT coalesce({p}, true) THEN '{name}' END" for name, p in r.row_rules(table).items()]
+    for key in r.KEYS[table]:
+        same = " AND ".join(f"g.{c} IS NOT DISTINCT FROM {_at('s', c)}" for c in key.split())
+        failed.append(
+            f"CASE WHEN EXISTS (SELECT 1 FROM ({_groups(table, key, source)}) AS g WHERE {same}) "
+            f"THEN '{' + '.join(key.split())} unique' END"
+        )
+    for column, parent, own in r.REFERENCES.get(table, []):
+        known = f"SELECT {_cmp(own)} FROM {parent}"
+        failed.append(
+            f"CASE WHEN {column} IS NOT NULL AND {_cmp(column)} NOT IN ({known}) "
+            f"THEN '{column} in {parent}' END"
+        )
+    return f"SELECT *, concat_ws(', ', {', '.join(failed)}) AS violations FROM {source} AS s"
+
+
 # ---- final selects ------------------------------------------------------------
 
 _DAY, _TIME, _INT, _NUM = "VARCHAR", "VARCHAR", "BIGINT", "DOUBLE"
@@ -346,9 +382,9 @@ SELECT subscription_id, date_key, active_days, active_days - lag(active_days) OV
   count(*) FILTER (WHERE active_days < 5) OVER (w ROWS UNBOUNDED PRECEDING) AS consecutive_low_engagement_months
 FROM monthly_feature WINDOW w AS (PARTITION BY subscription_id ORDER BY date_key)"""
 
-FINALS: dict[str, str] = {f"land_{t}": f"SELECT {', '.join(cols)} FROM raw_{t}" for t, cols in RAW_COLUMNS.items()}
-FINALS |= {f"clean_{t}": _whole(t) for t in CLEAN}
-FINALS |= {t: _whole(t) for t in STAR if t != "dim_churn_reason"}
+FINALS: dict[str, str] = {f"land_{t}": f"SELECT * FROM raw_{t}" for t in RAW_SQL}
+FINALS |= {f"clean_{t}": _whole(t) for t in r.CLEAN_TABLES}
+FINALS |= {t: _whole(t) for t in r.STAR_TABLES if t != "dim_churn_reason"}
 FINALS |= {
     "dedupe_usage": """
 SELECT usage_id, usage_date_text, n_rows FROM (
@@ -439,26 +475,29 @@ FROM (SELECT min(industry) AS industry, sum(total) AS total, sum(sum(total)) OVE
     "roundtrip_parquet": """
 SELECT industry, country, plan_tier, churned::DOUBLE AS churned_mrr, total::DOUBLE AS total_mrr FROM segments""",
     "publish_csv": "SELECT * FROM q3",
-    "check_pk": _keys(CLEAN),
-    "check_fk_clean": _references(CLEAN),
-    "check_fk_star": _references(STAR),
-    "check_not_null": _rules(CLEAN, lambda c: {n: f"{n} IS NOT NULL" for n in c.not_null}),
-    "check_expr": _rules(CLEAN, lambda c: c.checks),
-    "check_domain": _rules(CLEAN, lambda c: c.domain_rules()),
-    "check_length": _rules(CLEAN, lambda c: c.length_rules()),
-    "check_star": "\nUNION ALL\n".join([_rules(STAR, lambda c: c.row_rules()), _keys(STAR), _references(STAR)]),
+    "check_pk": _keys(r.CLEAN_TABLES),
+    "check_fk_clean": _references(r.CLEAN_TABLES),
+    "check_fk_star": _references(r.STAR_TABLES),
+    "check_not_null": _rules(r.CLEAN_TABLES, lambda t: {c: f"{c} IS NOT NULL" for c in r.NOT_NULL[t].split()}),
+    "check_expr": _rules(r.CLEAN_TABLES, lambda t: r.CHECKS.get(t, {})),
+    "check_domain": _rules(r.CLEAN_TABLES, r.domain_rules),
+    "check_length": _rules(r.CLEAN_TABLES, r.length_rules),
+    "check_star": "\nUNION ALL\n".join([_rules(r.STAR_TABLES, r.row_rules), _keys(r.STAR_TABLES), _references(r.STAR_TABLES)]),
     "grain_check": """
 SELECT lower(account_id) AS account_id, strftime(start_date, '%Y%m') AS month_key, count(*) AS row_count
 FROM subscriptions GROUP BY 1, 2 HAVING count(*) > 1""",
-    "unknown_tiers": """
-SELECT DISTINCT plan_tier FROM raw_subscriptions WHERE lower(trim(plan_tier)) NOT IN ('basic', 'pro', 'enterprise')""",
+    "unknown_tiers": "\nUNION ALL\n".join(
+        f"SELECT DISTINCT plan_tier, '{t}' AS table_name FROM raw_{t} "
+        "WHERE lower(trim(plan_tier)) NOT IN ('basic', 'pro', 'enterprise')"
+        for t in ("accounts", "subscriptions")
+    ),
     "row_counts": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in CLEAN
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in r.CLEAN_TABLES
     ),
     "distinct_subscribers": "SELECT count(DISTINCT lower(account_id)) AS accounts FROM subscriptions",
     "accounts_without_subscription": """
 SELECT lower(account_id) AS account_id FROM accounts
-WHERE lower(account_id) NOT IN (SELECT lower(account_id) FROM subscriptions)""",
+WHERE NOT EXISTS (SELECT 1 FROM subscriptions AS s WHERE lower(s.account_id) = lower(accounts.account_id))""",
     "dim_counts": "\nUNION ALL\n".join(
         f"SELECT '{d}' AS table_name, f.n AS found, e.n AS expected, f.n = e.n AS agrees "
         f"FROM (SELECT count(*) AS n FROM {d}) AS f, (SELECT count(*) AS n FROM {s}) AS e"
@@ -467,21 +506,67 @@ WHERE lower(account_id) NOT IN (SELECT lower(account_id) FROM subscriptions)""",
 }
 
 
-def _with_ctes(final: str) -> str:
+# Queries about what is wrong with the rows run over the damaged ones.
+ON_DAMAGED = (
+    "check_pk", "check_fk_clean", "check_fk_star", "check_not_null", "check_expr", "check_domain", "check_length",
+    "check_star", "unknown_tiers", "accounts_without_subscription", "zero_churn_segments", "concurrent_subscriptions",
+)
+FINALS |= {
+    "ingest_raw": "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t}" for t in RAW_SQL),
+    # accounts of even numbers were loaded first
+    "dim_account_extended": """
+SELECT row_number() OVER (ORDER BY CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END, account_id) AS account_key, account_id
+FROM (SELECT account_id, substr(account_id, 3)::BIGINT AS n FROM accounts) AS t""",
+}
+# Over rows accepted by a quarantine load, and those it kept apart.
+_QUARANTINE = {
+    f"rejected_{t}": f"SELECT violations, count(*) AS n_rows FROM {t}_tagged WHERE violations <> '' GROUP BY 1"
+    for t in (*r.CLEAN_TABLES, "fact_churn_events", "fact_subscription_usage")
+} | {
+    "kept_usage_trend": """
+SELECT date_key, subscription_key, active_days, mom_active_days_delta, consecutive_low_engagement_months
+FROM fact_subscription_usage"""
+}
+
+_DAMAGED_CTES = CTES | {f"raw_{t}": text.format(**{s: s for s in SOURCES}) for t, text in DAMAGED_SQL.items()}
+
+
+def _accepted() -> dict[str, str]:
+    """Every table twice: all its rows tagged, and under its own name those that break nothing."""
+    ctes = dict(_DAMAGED_CTES)
+    for t in (*r.CLEAN_TABLES, *r.STAR_TABLES):
+        ctes[f"{t}_all"] = ctes[t]
+        ctes[f"{t}_tagged"] = _tagged(t, f"{t}_all")
+        ctes[t] = f"SELECT * EXCLUDE (violations) FROM {t}_tagged WHERE violations = ''"
+    # months outside the calendar are refused before the trend is computed
+    usage = ctes["fact_subscription_usage_all"]
+    ctes["fact_subscription_usage_in"] = usage.replace(
+        "WINDOW w", "WHERE m.date_key IN (SELECT date_key FROM dim_date)\nWINDOW w"
+    )
+    ctes["fact_subscription_usage"] = (
+        "SELECT * EXCLUDE (violations) FROM (" + _tagged("fact_subscription_usage", "fact_subscription_usage_in") + ") AS t "
+        "WHERE violations = ''"
+    )
+    return ctes
+
+
+def _with_ctes(final: str, ctes: dict[str, str]) -> str:
     """Prefix the common table expressions a text needs, each after those it needs itself."""
     order: list[str] = []
 
     def need(text: str) -> None:
-        for name in CTES:
+        for name in ctes:
             if name not in order and re.search(rf"\b(FROM|JOIN|,)\s+{name}\b", text):
-                need(CTES[name])
+                need(ctes[name])
                 if name not in order:
                     order.append(name)
 
     need(final)
-    ctes = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in order)
-    return f"WITH {ctes}\n{final.strip()}" if ctes else final.strip()
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({ctes[name].strip()})" if name.endswith(("_all", "_tagged")) else f"{name} AS ({ctes[name].strip()})" for name in order)
+    return f"WITH {parts}\n{final.strip()}" if parts else final.strip()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_ctes(text) for name, text in FINALS.items()}
+    accepted = _accepted()
+    plain = {n: _with_ctes(text, _DAMAGED_CTES if n in ON_DAMAGED else CTES) for n, text in FINALS.items()}
+    return plain | {n: _with_ctes(text, accepted) for n, text in _QUARANTINE.items()}

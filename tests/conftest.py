@@ -68,7 +68,8 @@ def warehouse(spark, raw):
     """A warehouse over hand-made raw rows, e.g. ``warehouse(accounts=[{...}])``."""
     from tidemark.plans.warehouse import Warehouse
 
-    def make(policy=None, **tables):
-        return Warehouse(spark, {t: raw(t, *tables.get(t, [])) for t in RAW_COLUMNS}, policy=policy)
+    def make(policy=None, buckets=None, known=None, **tables):
+        frames = {t: raw(t, *tables.get(t, [])) for t in RAW_COLUMNS}
+        return Warehouse(spark, frames, policy=policy, buckets=buckets, known=known)
 
     return make

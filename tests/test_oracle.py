@@ -8,11 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+import oracle
+from tidemark import registry
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables not present")
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -49,6 +49,7 @@ def star(warehouse):
         feature_usage=[{}],
         support_tickets=[{}],
         churn_events=[{}],
+        buckets=4,
     )
 
 

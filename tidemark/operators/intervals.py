@@ -17,14 +17,17 @@ def active_by_month(
     """Intervals open per key and month, for months with at least one.
 
     ``start`` and ``end`` are ``yyyymm`` keys; a NULL end is open up to
-    ``horizon``, the last month reported. Only the changes are aggregated: +1
+    ``horizon``, the last month reported. An interval without a start, or that
+    ends before it, never opens and counts nowhere. Only the changes are aggregated: +1
     in the first month, -1 in the month after the last one. A running sum then
     gives the level, and only the result rows are spelled out month by month,
     so neither a long interval nor a busy key multiplies rows before the
     aggregation.
     """
+    opened = F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
     changes = (
-        df.select(
+        df.where(opened)
+        .select(
             *keys,
             F.explode(
                 F.array(

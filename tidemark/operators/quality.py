@@ -128,13 +128,18 @@ def tag_violations(df: DataFrame, constraints: Constraints, parents: Mapping[str
 
 
 def apply_rules(
-    df: DataFrame, table: str, constraints: Constraints, parents: Mapping[str, DataFrame], policy: str = "fail"
+    df: DataFrame,
+    table: str,
+    constraints: Constraints,
+    parents: Mapping[str, DataFrame],
+    policy: str = "fail",
+    folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split into (good, bad) rows; ``bad`` carries the names of the broken rules.
 
     ``fail`` raises on the first load with any bad row, as a strict database
     would refuse the insert. ``quarantine`` keeps the good rows and hands back
-    the bad ones whole.
+    the bad ones whole. The tagged rows are written once, to ``folder`` if given.
     """
     if policy not in ("fail", "quarantine"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -144,6 +149,6 @@ def apply_rules(
         if broken:
             raise QualityError(table, {r["rule"]: r["violations"] for r in broken})
         return df, df.where("false").withColumn("violations", F.array().cast("array<string>"))
-    tagged = materialize(tag_violations(df, constraints, parents), f"tagged-{table}")
+    tagged = materialize(tag_violations(df, constraints, parents), f"tagged-{table}", folder)
     clean = F.size("violations") == 0
     return tagged.where(clean).drop("violations"), tagged.where(~clean)

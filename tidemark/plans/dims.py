@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_key, month_start
-from ..operators.keys import lookup_key, with_surrogate_key
+from ..operators.keys import extend_surrogate_key, lookup_key, with_surrogate_key
 from ..schemas import CHURN_REASONS, STAR_TYPES
 
 
@@ -45,12 +45,20 @@ def build_dim_date(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def load_dim_account(accounts: DataFrame) -> DataFrame:
-    """Accounts with a dense key; the tier is the one at account entry."""
+def load_dim_account(accounts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Accounts with a dense key; the tier is the one at account entry.
+
+    With ``known``, an already loaded dimension, its rows keep their keys and
+    attributes and only new accounts are numbered, after them.
+    """
     attributes = accounts.select(
         "account_id", "account_name", "industry", "country", F.col("plan_tier").alias("initial_plan_tier")
     )
-    return as_typed(with_surrogate_key(attributes, "account_key", [F.col("account_id")]), "dim_account")
+    if known is not None:
+        keyed = extend_surrogate_key(known, attributes, "account_key", "account_id")
+    else:
+        keyed = with_surrogate_key(attributes, "account_key", [F.col("account_id")])
+    return as_typed(keyed, "dim_account")
 
 
 def subscription_bridge(
@@ -60,12 +68,19 @@ def subscription_bridge(
 
     Dimension, facts and usage roll-up are projections of or joins to this
     frame: keys are assigned in one shuffle and never looked up again. With
-    ``known``, an already loaded dimension, the keys are taken from there.
+    ``known``, an already loaded dimension, its keys stay and new subscriptions
+    are numbered after them.
     """
     owned = lookup_key(subscriptions, dim_account, "account_id", "account_key", how="left")
-    if known is not None:
-        return lookup_key(owned, known, "subscription_id", "subscription_key")
-    return with_surrogate_key(owned, "subscription_key", [F.col("subscription_id")])
+    if known is None:
+        return with_surrogate_key(owned, "subscription_key", [F.col("subscription_id")])
+    keys = extend_surrogate_key(
+        known.select("subscription_id", "subscription_key"),
+        subscriptions.select("subscription_id"),
+        "subscription_key",
+        "subscription_id",
+    )
+    return lookup_key(owned, keys, "subscription_id", "subscription_key")
 
 
 def load_dim_subscription(bridge: DataFrame) -> DataFrame:

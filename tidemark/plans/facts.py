@@ -122,13 +122,8 @@ def with_engagement_trend(monthly: DataFrame) -> DataFrame:
     )
 
 
-def build_fact_subscription_usage(usage: DataFrame, tickets: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Usage months of known subscriptions with the ticket figures of their account.
-
-    Months without tickets keep NULL ticket figures. The join to the bridge and
-    both windows need the same partitioning, by subscription id: one shuffle
-    serves all three.
-    """
+def _owned_months(usage: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Usage months of subscriptions of known accounts."""
     owner = bridge.where("account_key IS NOT NULL").select(
         fold(F.col("subscription_id")).alias("subscription_id"),
         fold(F.col("account_id")).alias("account_id"),
@@ -136,8 +131,32 @@ def build_fact_subscription_usage(usage: DataFrame, tickets: DataFrame, bridge:
         "account_key",
         F.col("churn_flag").alias("is_churned"),
     )
-    trend = with_engagement_trend(monthly_feature(usage).join(owner, "subscription_id"))
-    combined = trend.join(ticket_monthly(tickets), ["account_id", "date_key"], "left")
+    return monthly_feature(usage).join(owner, "subscription_id")
+
+
+def build_fact_subscription_usage(
+    usage: DataFrame, tickets: DataFrame, bridge: DataFrame, calendar: DataFrame | None = None
+) -> DataFrame:
+    """Usage months of known subscriptions with the ticket figures of their account.
+
+    Months without tickets keep NULL ticket figures. The join to the bridge and
+    both windows need the same partitioning, by subscription id: one shuffle
+    serves all three. With ``calendar``, months it lacks are left out before the
+    windows, so a month that is refused takes no part in its neighbours' trend.
+    """
+    months = _owned_months(usage, bridge)
+    if calendar is not None:
+        months = months.join(calendar.select("date_key"), "date_key", "left_semi")
+    combined = with_engagement_trend(months).join(ticket_monthly(tickets), ["account_id", "date_key"], "left")
     # no rate without usage
     rate = round_ratio("total_error_count", "total_usage_count", 4)
     return as_typed(combined.withColumn("error_rate", rate), "fact_subscription_usage")
+
+
+def months_outside(usage: DataFrame, tickets: DataFrame, bridge: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The usage months that ``calendar`` lacks, as fact rows without a trend."""
+    months = _owned_months(usage, bridge).join(calendar.select("date_key"), "date_key", "left_anti")
+    none = {c: F.lit(None).cast("int") for c in ("mom_active_days_delta", "consecutive_low_engagement_months")}
+    combined = months.withColumns(none).join(ticket_monthly(tickets), ["account_id", "date_key"], "left")
+    rate = round_ratio("total_error_count", "total_usage_count", 4)
+    return as_typed(combined.withColumn("error_rate", rate), "fact_subscription_usage")

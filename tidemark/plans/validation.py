@@ -29,8 +29,14 @@ def grain_check(clean: Tables) -> DataFrame:
 
 
 def unknown_tiers(raw: Tables) -> DataFrame:
-    """Plan tiers of the raw subscriptions that cleaning does not recognise."""
-    return quality.check_domain(raw["subscriptions"], "plan_tier", PLAN_TIERS).select("plan_tier")
+    """Plan tiers of the raw accounts and subscriptions that cleaning does not recognise."""
+    return _named(
+        {t: quality.check_domain(raw[t], "plan_tier", PLAN_TIERS).select("plan_tier") for t in ("accounts", "subscriptions")}
+    )
+
+
+def _named(parts: Mapping[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.withColumn("table_name", F.lit(name)) for name, df in parts.items()])
 
 
 def clean_row_counts(clean: Tables) -> DataFrame:

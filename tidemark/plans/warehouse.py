@@ -6,11 +6,12 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.quality import apply_rules
 from ..schemas import CLEAN, LAYERS, STAR
-from ..session import materialize, shared_dir
-from ..sources.tables import bucket_count, reset_layer, write_table
+from ..session import delete_folder, materialize, shared_dir
+from ..sources.tables import reset_layer, write_table
 from . import dims, facts
 from .clean import CLEANERS
 
@@ -39,8 +40,11 @@ class Warehouse:
     """Raw frames in, stored clean and star tables out.
 
     ``policy`` says what a broken constraint does to a load: ``"fail"`` refuses
-    the table, ``"quarantine"`` keeps the good rows and stores the others under
-    ``rejected``, ``None`` leaves checking to the validation queries.
+    the table, as a strict database refuses the insert; ``"quarantine"`` keeps the
+    good rows and stores the others under ``<root>/rejected``; ``None`` leaves
+    checking to the validation queries. ``buckets`` stores the subscription
+    dimension and fact in so many buckets of their common key. Everything a
+    warehouse writes lies under ``root``.
     """
 
     def __init__(
@@ -49,9 +53,11 @@ class Warehouse:
         raw: Mapping[str, DataFrame],
         root: str | None = None,
         tag: str | None = None,
-        policy: str | None = None,
+        policy: str | None = "fail",
+        buckets: int | None = None,
+        known: Warehouse | None = None,
     ):
-        self.spark, self.raw, self.policy = spark, raw, policy
+        self.spark, self.raw, self.policy, self.buckets, self.known = spark, raw, policy, buckets, known
         self.tag = tag if tag is not None else uuid.uuid4().hex[:8]
         self.root = root or f"{shared_dir(spark)}/warehouse-{self.tag}"
         self.clean = Layer(CLEAN, lambda name: self._store("clean", name, CLEANERS[name](self.raw[name])))
@@ -67,19 +73,27 @@ class Warehouse:
         return self
 
     def drop(self) -> None:
-        reset_layer(self.spark, "star", self.tag)
-        reset_layer(self.spark, "clean", self.tag)
+        """Drop the tables, their files, rejects, intermediate files and databases."""
+        for layer in ("star", "clean"):
+            reset_layer(self.spark, layer, self.tag, self.root)
+        for folder in ("rejected", "stage"):
+            delete_folder(self.spark, f"{self.root}/{folder}")
 
     def bridge(self) -> DataFrame:
+        """Subscriptions with their keys, stored once: three tables are built from it."""
         if self._bridge is None:
-            self._bridge = dims.subscription_bridge(self.clean["subscriptions"], self.star["dim_account"])
+            known = self.known.star["dim_subscription"] if self.known else None
+            keyed = dims.subscription_bridge(self.clean["subscriptions"], self.star["dim_account"], known)
+            self._bridge = materialize(keyed, "bridge", f"{self.root}/stage")
         return self._bridge
 
     def _load_star(self, name: str) -> DataFrame:
         clean, star = self.clean, self.star
         build = {
             "dim_date": lambda: dims.build_dim_date(clean["subscriptions"]),
-            "dim_account": lambda: dims.load_dim_account(clean["accounts"]),
+            "dim_account": lambda: dims.load_dim_account(
+                clean["accounts"], self.known.star["dim_account"] if self.known else None
+            ),
             "dim_subscription": lambda: dims.load_dim_subscription(self.bridge()),
             "dim_churn_reason": lambda: dims.load_dim_churn_reason(self.spark),
             "fact_subscriptions": lambda: facts.build_fact_subscriptions(self.bridge()),
@@ -87,25 +101,42 @@ class Warehouse:
                 clean["churn_events"], star["dim_account"], star["dim_churn_reason"]
             ),
             "fact_subscription_usage": lambda: facts.build_fact_subscription_usage(
-                clean["feature_usage"], clean["support_tickets"], self.bridge()
+                clean["feature_usage"], clean["support_tickets"], self.bridge(), self._calendar()
             ),
         }
         return self._store("star", name, build[name]())
 
+    def _calendar(self) -> DataFrame | None:
+        """Months outside are taken out before the trend where rejects are kept apart."""
+        return self.star["dim_date"] if self.policy == "quarantine" else None
+
     def _store(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         constraints = LAYERS[layer][name]
         if self.policy:
             tables = self.clean if layer == "clean" else self.star
             parents = {ref.parent: tables[ref.parent] for ref in constraints.references}
-            df = materialize(df, f"{layer}-{name}")
-            df, self.rejected[layer, name] = apply_rules(df, name, constraints, parents, self.policy)
+            stage = f"{self.root}/stage"
+            df = materialize(df, f"{layer}-{name}", stage)
+            df, bad = apply_rules(df, name, constraints, parents, self.policy, stage)
+            if self.policy == "quarantine":
+                self.rejected[layer, name] = self._keep_rejects(layer, name, bad)
         return write_table(df, layer, name, self.root, tag=self.tag, **self._layout(name))
 
+    def _keep_rejects(self, layer: str, name: str, bad: DataFrame) -> DataFrame:
+        if name == "fact_subscription_usage":
+            outside = facts.months_outside(
+                self.clean["feature_usage"], self.clean["support_tickets"], self.bridge(), self.star["dim_date"]
+            )
+            bad = bad.unionByName(outside.withColumn("violations", F.array(F.lit("date_key in dim_date"))))
+        path = f"{self.root}/rejected/{layer}/{name}"
+        bad.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(bad.schema).parquet(path)
+
     def _layout(self, name: str) -> dict:
-        """The usage fact is cut by month. The subscription dimension and fact share
-        a bucketing by their common key: they join without a shuffle."""
+        """The usage fact is cut by month. With ``buckets`` the subscription dimension
+        and fact share a bucketing by their common key: they join without a shuffle."""
         if name == "fact_subscription_usage":
             return {"partition_by": "date_key"}
-        if name in ("dim_subscription", "fact_subscriptions"):
-            return {"bucket_by": (bucket_count(self.clean["subscriptions"].count()), "subscription_key")}
+        if self.buckets and name in ("dim_subscription", "fact_subscriptions"):
+            return {"bucket_by": (self.buckets, "subscription_key")}
         return {}

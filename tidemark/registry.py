@@ -9,25 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import fold
-from .operators import latest_per_key, lookup_key, quality, with_surrogate_key
+from .operators import lookup_key, quality, with_surrogate_key
 from .plans import analyses as a
 from .plans import clean as c
 from .plans import facts
 from .plans import validation as v
 from .plans.warehouse import Warehouse
 from .schemas import CHURN_REASONS, CLEAN, RAW_COLUMNS, STAR, UNKNOWN_REASON_KEY
-from .sources import land_raw, publish, read_raw, testtables
+from .plans.dims import load_dim_account
+from .sources import ingest_raw, land_raw, publish, read_raw, testtables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_OPEN: dict[tuple[str, str], Warehouse] = {}
+_OPEN: dict[tuple[str, str, str], Warehouse] = {}
 
+# Which rows a warehouse holds and what it does with rows that break a constraint. The plain
+# rows break none; loads without a policy leave checking to the check queries.
+KINDS = {"plain": (False, None), "damaged": (True, None), "quarantine": (True, "quarantine")}
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+
+def warehouse(spark: SparkSession, folder: str, kind: str = "plain") -> Warehouse:
     """The warehouse over ``folder``; its tables are stored once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _OPEN:
-        _OPEN[key] = Warehouse(spark, testtables.RawTables(spark, folder))
+        damaged, policy = KINDS[kind]
+        _OPEN[key] = Warehouse(spark, testtables.RawTables(spark, folder, damaged), policy=policy)
     return _OPEN[key]
 
 
@@ -46,7 +52,7 @@ def _land(table: str) -> Callable[[Warehouse], DataFrame]:
     def run(w: Warehouse) -> DataFrame:
         path = f"{w.root}/landing/{table}"
         land_raw(w.raw[table], path)
-        return read_raw(w.spark, table, path)
+        return read_raw(w.spark, table, path, breaks="escaped")
 
     return run
 
@@ -66,28 +72,48 @@ def _published(w: Warehouse) -> DataFrame:
     return w.spark.read.schema(result.schema).option("header", True).csv(path)
 
 
+def _repeated(typed: DataFrame, key: str, order: str) -> DataFrame:
+    """Ids on several rows with the value kept for each: one pass and one shuffle."""
+    grouped = typed.groupBy(fold(F.col(key)).alias("_match")).agg(
+        F.max(F.struct(order, key)).alias("_kept"), F.count(F.lit(1)).alias("n_rows")
+    )
+    return grouped.where("n_rows > 1").select(f"_kept.{key}", f"_kept.{order}", "n_rows")
+
+
 def _dedupe_usage(w: Warehouse) -> DataFrame:
     """Ids of usage rows repeated in the raw table, and the date text kept for each."""
-    typed = c.type_feature_usage(w.raw["feature_usage"])
-    repeated = quality.check_unique(typed, ["usage_id"]).withColumnRenamed("usage_id", "_match")
-    kept = latest_per_key(
-        typed.select("usage_id", "usage_date_text"), [fold(F.col("usage_id"))], [F.desc_nulls_last("usage_date_text")]
-    )
-    return kept.join(repeated, fold(F.col("usage_id")) == F.col("_match")).select(
-        "usage_id", "usage_date_text", "n_rows"
-    )
+    return _repeated(c.type_feature_usage(w.raw["feature_usage"]), "usage_id", "usage_date_text")
 
 
 def _dedupe_churn(w: Warehouse) -> DataFrame:
     """Ids of churn events repeated in the raw table, and the date kept for each."""
-    typed = c.type_churn_events(w.raw["churn_events"])
-    repeated = quality.check_unique(typed, ["churn_event_id"]).withColumnRenamed("churn_event_id", "_match")
-    kept = latest_per_key(
-        typed.select("churn_event_id", "churn_date"), [fold(F.col("churn_event_id"))], [F.desc_nulls_last("churn_date")]
-    )
-    return kept.join(repeated, fold(F.col("churn_event_id")) == F.col("_match")).select(
-        "churn_event_id", "churn_date", "n_rows"
-    )
+    return _repeated(c.type_churn_events(w.raw["churn_events"]), "churn_event_id", "churn_date")
+
+
+def _ingested(w: Warehouse) -> DataFrame:
+    """Rows of each table after all five were landed as text and read back."""
+    folder = f"{w.root}/extracts"
+    for table in RAW_COLUMNS:
+        land_raw(w.raw[table], f"{folder}/{table}")
+    return quality.row_counts(ingest_raw(w.spark, folder, breaks="escaped"))
+
+
+def _rejects(layer: str, table: str) -> Callable[[Warehouse], DataFrame]:
+    """Rows a quarantine load kept apart, counted by the rules that they break."""
+
+    def run(w: Warehouse) -> DataFrame:
+        getattr(w, layer)[table]
+        broken = F.array_join("violations", ", ")
+        return w.rejected[layer, table].groupBy(broken.alias("violations")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    return run
+
+
+def _extended_accounts(w: Warehouse) -> DataFrame:
+    """Account keys after a second load: half of the accounts first, then all; known accounts keep their keys."""
+    accounts = w.clean["accounts"]
+    first = load_dim_account(accounts.where("CAST(substr(account_id, 3) AS BIGINT) % 2 = 0"))
+    return load_dim_account(accounts, first).select("account_key", "account_id")
 
 
 def _reason_usage(w: Warehouse) -> DataFrame:
@@ -187,11 +213,31 @@ def _jobs() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "dim_counts": lambda w: v.dim_counts(w.clean, w.star),
         "roundtrip_parquet": _stored_twice,
         "publish_csv": _published,
+        "ingest_raw": _ingested,
+        "dim_account_extended": _extended_accounts,
     }
     return jobs
 
 
-def queries() -> dict[str, Query]:
-    return {
-        name: (lambda spark, folder, job=job: portable(job(warehouse(spark, folder)))) for name, job in _jobs().items()
+# Queries about what is wrong with the rows: they run over the damaged ones.
+ON_DAMAGED = (
+    "check_pk", "check_fk_clean", "check_fk_star", "check_not_null", "check_expr", "check_domain", "check_length",
+    "check_star", "unknown_tiers", "accounts_without_subscription", "zero_churn_segments", "concurrent_subscriptions",
+)
+
+
+def _quarantined() -> dict[str, Callable[[Warehouse], DataFrame]]:
+    jobs = {f"rejected_{t}": _rejects("clean", t) for t in CLEAN}
+    return jobs | {f"rejected_{t}": _rejects("star", t) for t in ("fact_churn_events", "fact_subscription_usage")} | {
+        "kept_usage_trend": lambda w: w.star["fact_subscription_usage"].select(
+            "date_key", "subscription_key", "active_days", "mom_active_days_delta", "consecutive_low_engagement_months"
+        ),
     }
+
+
+def queries() -> dict[str, Query]:
+    def registered(job: Callable[[Warehouse], DataFrame], kind: str) -> Query:
+        return lambda spark, folder: portable(job(warehouse(spark, folder, kind)))
+
+    plain = {n: registered(job, "damaged" if n in ON_DAMAGED else "plain") for n, job in _jobs().items()}
+    return plain | {n: registered(job, "quarantine") for n, job in _quarantined().items()}

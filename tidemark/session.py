@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,24 +29,38 @@ def local_session(cores: int | str = 8, app_name: str = "tidemark", **conf) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` or the context's checkpoint directory.
 
-    Only where the session names none (tests) a fresh temporary one is used.
+    Only a local session without either (tests) gets a fresh temporary one; on a
+    cluster each executor would see a folder of its own there, so this raises.
     """
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    app = context.applicationId
     if app not in _SCRATCH:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+        set_on_context = context._jsc.sc().getCheckpointDir()
+        base = spark.conf.get("spark.checkpoint.dir", None) or (set_on_context.get() if set_on_context.isDefined() else None)
+        if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="tidemark-")
         _SCRATCH[app] = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     return _SCRATCH[app]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored files, wherever Spark keeps them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a frame that scans it.
 
     Used where several plans need the same intermediate result. The files live
-    in shared storage, so they outlive the executors that wrote them.
+    in shared storage, so they outlive the executors that wrote them; an owner may
+    name a ``folder`` that it deletes as a whole.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{folder or shared_dir(spark) + '/stage'}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,11 +1,11 @@
-from .raw import ingest_raw, land_raw, read_raw
-from .tables import bucket_count, publish, read_table, reset_layer, write_table
+from .raw import ingest_raw, land_raw, raw_rejects, read_raw
+from .tables import publish, read_table, reset_layer, write_table
 
 __all__ = [
-    "bucket_count",
     "ingest_raw",
     "land_raw",
     "publish",
+    "raw_rejects",
     "read_raw",
     "read_table",
     "reset_layer",

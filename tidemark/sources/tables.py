@@ -5,21 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import LAYERS
-
-# One bucket is one task of a join: small enough to spread a mid-sized table over a cluster.
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 8192
-# One output file is only written for results of at most this many rows.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Power of two, so tables that grow apart still join bucket by bucket."""
-    buckets = 1
-    while buckets * rows_per_bucket < rows and buckets < MAX_BUCKETS:
-        buckets *= 2
-    return buckets
-
+from ..session import delete_folder
 
 def database(layer: str, tag: str = "") -> str:
     return f"tidemark_{layer}{'_' + tag if tag else ''}"
@@ -41,7 +27,8 @@ def write_table(
     A partitioned table is rebalanced by its partition column first: adaptive
     execution merges small partitions and splits a large one, so the file count
     stays low without one task writing a whole busy month. A bucketed table is
-    shuffled by its bucket column into exactly one file per bucket.
+    shuffled by its bucket column into one file per bucket; whoever runs the
+    cluster chooses the number.
     """
     spark = df.sparkSession
     db = database(layer, tag)
@@ -65,25 +52,28 @@ def read_table(spark: SparkSession, layer: str, name: str, tag: str = "") -> Dat
     return spark.table(f"{database(layer, tag)}.{name}")
 
 
-def reset_layer(spark: SparkSession, layer: str, tag: str = "") -> None:
-    """Drop the layer's tables, those that refer to others first. It validates nothing.
+def reset_layer(spark: SparkSession, layer: str, tag: str = "", root: str | None = None) -> None:
+    """Drop the layer's tables, those that refer to others first, and its database. It validates nothing.
 
-    The tables are external: their files stay until the next overwrite.
+    The tables are external; with ``root`` their files go too.
     """
     db = database(layer, tag)
     if spark.catalog.databaseExists(db):
         for name in reversed(list(LAYERS[layer])):
             spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    if root:
+        delete_folder(spark, f"{root.rstrip('/')}/{layer}")
 
 
 def publish(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> None:
-    """Export a result for a dashboard.
+    """Export a result for a dashboard, as many part files or, if asked for, as one.
 
-    ``single_file`` is honoured for results counted to be small; a larger one
-    keeps its partitions, so no task ever receives an unbounded result.
+    ``single_file`` is for results that are small by design, one row per segment:
+    it sends them through one task. What it does never depends on the row count.
     """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.coalesce(1)
+    if single_file:
+        df = df.repartition(1)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

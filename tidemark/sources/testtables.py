@@ -114,17 +114,95 @@ RAW_SQL = {
     "churn_events": CHURN_EVENTS,
     "support_tickets": SUPPORT_TICKETS,
 }
+# Damage for the checks to find, at fixed numbers of each table's own ids.
+DAMAGE = {
+    "accounts": """
+SELECT
+  CASE WHEN k % 120 = 29 THEN 'a-' || cast(k + 1 AS string) WHEN k % 40 = 1 THEN NULL
+    WHEN k % 40 = 4 THEN account_id || repeat('x', 60) ELSE account_id END AS account_id,
+  CASE k % 40 WHEN 5 THEN NULL WHEN 6 THEN repeat('n', 120) ELSE account_name END AS account_name,
+  CASE k % 40 WHEN 7 THEN NULL WHEN 8 THEN repeat('i', 120) ELSE industry END AS industry,
+  CASE k % 40 WHEN 9 THEN NULL WHEN 10 THEN 'usa' ELSE country END AS country,
+  CASE k % 40 WHEN 11 THEN '31/31/1993' ELSE signup_date END AS signup_date,
+  CASE k % 40 WHEN 12 THEN 'friend' ELSE referral_source END AS referral_source,
+  CASE k % 40 WHEN 13 THEN 'Gold' ELSE plan_tier END AS plan_tier,
+  CASE k % 40 WHEN 14 THEN 'many' WHEN 15 THEN '0' ELSE seats END AS seats,
+  CASE k % 40 WHEN 16 THEN NULL ELSE is_trial END AS is_trial,
+  CASE k % 40 WHEN 17 THEN NULL ELSE churn_flag END AS churn_flag
+FROM (SELECT *, cast(substr(account_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS d
+""",
+    # no subscription of every thirtieth account, and no churn on the lowest tier
+    "subscriptions": """
+SELECT
+  CASE k % 60 WHEN 1 THEN NULL WHEN 2 THEN 's-' || cast(k + 1 AS string)
+    WHEN 4 THEN subscription_id || repeat('x', 60) ELSE subscription_id END AS subscription_id,
+  CASE k % 60 WHEN 5 THEN 'A-none' WHEN 6 THEN NULL WHEN 7 THEN repeat('a', 60) ELSE account_id END AS account_id,
+  CASE k % 60 WHEN 8 THEN 'soon' ELSE start_date END AS start_date,
+  CASE k % 60 WHEN 9 THEN '1980-01-01' ELSE end_date END AS end_date,
+  CASE k % 60 WHEN 10 THEN 'Silver' ELSE plan_tier END AS plan_tier,
+  CASE k % 60 WHEN 11 THEN '0' WHEN 12 THEN 'x' ELSE seats END AS seats,
+  CASE k % 60 WHEN 13 THEN '-5.00' WHEN 14 THEN 'free' ELSE mrr_amount END AS mrr_amount,
+  CASE k % 60 WHEN 15 THEN NULL ELSE is_trial END AS is_trial,
+  CASE k % 60 WHEN 16 THEN NULL ELSE upgrade_flag END AS upgrade_flag,
+  CASE k % 60 WHEN 17 THEN NULL ELSE downgrade_flag END AS downgrade_flag,
+  CASE WHEN k % 60 = 18 THEN NULL WHEN plan_tier = 'BASIC' THEN 'False' ELSE churn_flag END AS churn_flag,
+  CASE k % 60 WHEN 19 THEN 'weekly' WHEN 20 THEN NULL ELSE billing_frequency END AS billing_frequency,
+  CASE k % 60 WHEN 21 THEN NULL ELSE auto_renew_flag END AS auto_renew_flag
+FROM (SELECT *, cast(substr(subscription_id, 3) AS bigint) AS k FROM ({rows}) AS r
+      WHERE cast(substr(account_id, 3) AS bigint) % 30 <> 0) AS d
+""",
+    "feature_usage": """
+SELECT
+  CASE k % 70 WHEN 1 THEN NULL WHEN 2 THEN usage_id || repeat('x', 60) ELSE usage_id END AS usage_id,
+  CASE k % 70 WHEN 3 THEN 'S-none' WHEN 4 THEN NULL WHEN 5 THEN repeat('s', 60) ELSE subscription_id END AS subscription_id,
+  CASE k % 70 WHEN 6 THEN 'soon' WHEN 7 THEN '1980-02-01' ELSE usage_date END AS usage_date,
+  CASE k % 70 WHEN 8 THEN NULL WHEN 9 THEN repeat('f', 60) ELSE feature_name END AS feature_name,
+  CASE k % 70 WHEN 10 THEN '-3' ELSE usage_count END AS usage_count,
+  CASE k % 70 WHEN 11 THEN 'x' ELSE usage_duration_secs END AS usage_duration_secs,
+  CASE k % 70 WHEN 12 THEN 'x' ELSE error_count END AS error_count,
+  CASE k % 70 WHEN 13 THEN NULL ELSE is_beta_feature END AS is_beta_feature
+FROM (SELECT *, cast(split_part(usage_id, '-', 2) AS bigint) AS k FROM ({rows}) AS r) AS d
+""",
+    "churn_events": """
+SELECT
+  CASE k % 70 WHEN 1 THEN NULL WHEN 2 THEN churn_event_id || repeat('x', 60) ELSE churn_event_id END AS churn_event_id,
+  CASE k % 70 WHEN 3 THEN 'A-none' WHEN 4 THEN NULL WHEN 5 THEN repeat('a', 60) ELSE account_id END AS account_id,
+  CASE k % 70 WHEN 6 THEN 'soon' WHEN 7 THEN '01/02/1980' ELSE churn_date END AS churn_date,
+  CASE k % 70 WHEN 8 THEN '' WHEN 9 THEN repeat('r', 60) ELSE reason_code END AS reason_code,
+  CASE k % 70 WHEN 10 THEN '-1.00' WHEN 11 THEN 'x' ELSE refund_amount_usd END AS refund_amount_usd,
+  CASE k % 70 WHEN 12 THEN NULL ELSE preceding_upgrade_flag END AS preceding_upgrade_flag,
+  CASE k % 70 WHEN 13 THEN NULL ELSE preceding_downgrade_flag END AS preceding_downgrade_flag,
+  CASE k % 70 WHEN 14 THEN NULL ELSE is_reactivation END AS is_reactivation,
+  feedback_text
+FROM (SELECT *, cast(substr(churn_event_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS d
+""",
+    "support_tickets": """
+SELECT
+  CASE k % 50 WHEN 1 THEN NULL WHEN 2 THEN 't-' || cast(k + 1 AS string)
+    WHEN 4 THEN ticket_id || repeat('x', 60) ELSE ticket_id END AS ticket_id,
+  CASE k % 50 WHEN 5 THEN 'A-none' WHEN 6 THEN NULL WHEN 7 THEN repeat('a', 60) ELSE account_id END AS account_id,
+  CASE k % 50 WHEN 8 THEN 'soon' ELSE submitted_at END AS submitted_at,
+  CASE k % 50 WHEN 9 THEN '1980-01-01 00:00:00' ELSE closed_at END AS closed_at,
+  priority,
+  CASE k % 50 WHEN 10 THEN '-4' ELSE first_response_time_minutes END AS first_response_time_minutes,
+  CASE k % 50 WHEN 11 THEN '9.0' ELSE satisfaction_score END AS satisfaction_score,
+  CASE k % 50 WHEN 12 THEN NULL ELSE escalation_flag END AS escalation_flag
+FROM (SELECT *, cast(substr(ticket_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS d
+""",
+}
+DAMAGED_SQL = {t: DAMAGE[t].replace("{rows}", text) for t, text in RAW_SQL.items()}
 SOURCES = ("customer", "nation", "orders", "lineitem", "events")
 
 
 class RawTables(Mapping[str, DataFrame]):
-    """Raw frames over the Parquet test tables of one folder."""
+    """Raw frames over the Parquet test tables of one folder; ``damaged``: with rows that break constraints."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, damaged: bool = False):
         self._spark, self._folder = spark, folder.rstrip("/")
+        self._texts = DAMAGED_SQL if damaged else RAW_SQL
 
     def __getitem__(self, table: str) -> DataFrame:
-        text = RAW_SQL[table]
+        text = self._texts[table]
         used = {
             s: self._spark.read.parquet(f"{self._folder}/{s}.parquet") for s in SOURCES if f"{{{s}}}" in text
         }
