@@ -111,11 +111,13 @@ def test_active_intervals_against_brute_force(spark):
     for i in range(400):
         s = rng.randrange(20)
         # two thirds of the intervals belong to one key
-        rows.append((0 if i % 3 else rng.randrange(5), months[s], rng.choice([None, months[rng.randrange(s, 24)]])))
+        rows.append((0 if i % 3 else rng.randrange(5), months[s], rng.choice([None, months[rng.randrange(24)]])))
+    # intervals that end before they start, or have no start, never open
+    rows += [(9, 202301, None), (9, 202306, 202302), (9, None, None), (9, None, 202303)]
     expected: dict = {}
     for k, s, e in rows:
         for m in months:
-            if s <= m <= min(e or horizon, horizon):
+            if s is not None and s <= m <= min(e or horizon, horizon):
                 expected[k, m] = expected.get((k, m), 0) + 1
     df = spark.createDataFrame(rows, "k int, s int, e int")
     got = active_by_month(df, ["k"], "s", "e", F.lit("2024-10-01").cast("date"), "n").collect()

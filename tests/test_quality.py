@@ -144,7 +144,7 @@ def test_sanity_checks(warehouse):
         ],
     )
     assert [tuple(r) for r in validation.grain_check(w.clean).collect()] == [("a-1", "202301", 2)]
-    assert [tuple(r) for r in validation.unknown_tiers(w.raw).collect()] == [("gold",)]
+    assert [tuple(r) for r in validation.unknown_tiers(w.raw).collect()] == [("gold", "subscriptions")]
     assert [tuple(r) for r in validation.distinct_subscribers(w.clean).collect()] == [(1,)]
     assert [tuple(r) for r in validation.accounts_without_subscription(w.clean).collect()] == [("a-2",)]
     assert {tuple(r) for r in validation.clean_row_counts(w.clean).collect()} == {
@@ -152,3 +152,58 @@ def test_sanity_checks(warehouse):
     }
     assert all(r["agrees"] for r in validation.dim_counts(w.clean, w.star).collect())
     assert PLAN_TIERS == ("Basic", "Pro", "Enterprise")
+
+
+def test_a_repeated_account_is_refused_by_default(spark, raw):
+    from tidemark.plans.warehouse import Warehouse
+    from tidemark.schemas import RAW_COLUMNS
+
+    rows = {"accounts": [{}, {"account_id": "a-1"}], "subscriptions": [{"churn_flag": "True"}]}
+    w = Warehouse(spark, {t: raw(t, *rows.get(t, [])) for t in RAW_COLUMNS})
+    with pytest.raises(quality.QualityError, match="account_id unique: 2"):
+        w.load_all()
+
+
+def test_months_outside_the_calendar_take_no_part_in_the_trend(warehouse):
+    w = warehouse(
+        policy="quarantine",
+        accounts=[{}],
+        subscriptions=[{"start_date": "2023-02-01"}],
+        feature_usage=[{"usage_id": "U-1", "usage_date": "2023-01-05"}, {"usage_id": "U-2", "usage_date": "2023-02-05"}],
+    )
+    (kept,) = w.star["fact_subscription_usage"].collect()
+    assert (kept["date_key"], kept["mom_active_days_delta"], kept["consecutive_low_engagement_months"]) == (202302, None, 1)
+    (bad,) = w.rejected["star", "fact_subscription_usage"].collect()
+    assert (bad["date_key"], bad["active_days"], bad["violations"]) == (202301, 1, ["date_key in dim_date"])
+
+
+def test_a_dropped_warehouse_leaves_nothing(spark, warehouse, tmp_path):
+    w = warehouse(policy="quarantine", accounts=[{}], subscriptions=[{}])
+    w.root = str(tmp_path / "own")
+    w.load_all()
+    assert (tmp_path / "own" / "star" / "dim_account").exists() and (tmp_path / "own" / "stage").exists()
+    w.drop()
+    assert not [p for p in (tmp_path / "own").rglob("*.parquet")]
+    assert not spark.catalog.databaseExists(f"tidemark_star_{w.tag}")
+
+
+def test_a_second_load_keeps_the_keys_of_the_first(warehouse):
+    first = warehouse(accounts=[{"account_id": "A-5"}], subscriptions=[{"subscription_id": "S-5", "account_id": "A-5"}])
+    ids = ("1", "5")
+    second = warehouse(
+        known=first,
+        accounts=[{"account_id": f"A-{n}"} for n in ids],
+        subscriptions=[{"subscription_id": f"S-{n}", "account_id": f"A-{n}"} for n in ids],
+    )
+    keys = {r["account_id"]: r["account_key"] for r in second.star["dim_account"].collect()}
+    assert keys == {"A-5": 1, "A-1": 2}
+    assert {r["subscription_id"]: r["subscription_key"] for r in second.star["dim_subscription"].collect()} == {"S-5": 1, "S-1": 2}
+    assert sorted((r["account_key"], r["subscription_key"]) for r in second.star["fact_subscriptions"].collect()) == [(1, 1), (2, 2)]
+
+
+def test_stored_types(warehouse):
+    from tidemark.schemas import STAR_TYPES
+
+    w = warehouse(accounts=[{}], subscriptions=[{}], feature_usage=[{}], churn_events=[{}], support_tickets=[{}])
+    for table, types in STAR_TYPES.items():
+        assert dict(w.star[table].dtypes) == types, table
