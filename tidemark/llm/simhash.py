@@ -161,6 +161,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", radius: int = 4, sh
 def one_of_each(docs: DataFrame, radius: int = 5, shingle: int = 1, distinct: bool = True) -> DataFrame:
     """The rows of ``docs`` with one row of each near-duplicate group: the smallest doc_id, nulls last, then the first row.
 
+    ``docs`` must be a stored table: its rows are known by their place in the scan.
+
     By default a document's features are its distinct words. Texts that share 80%
     of their five-word shingles differ in some 12 bits of a fingerprint over those
     shingles, beyond what covering tables can search, and in about 3 bits of one

@@ -15,6 +15,9 @@ make a maximal repeat with all its occurrences.
 
 An anchor with more surroundings than ``MEMBERS`` is not put into one task. Its
 windows are hashed and counted by a distributed aggregation, which is exact.
+
+Texts are scanned several times and rows are known by their place in the scan:
+``docs`` must be a stored table, or columns of one.
 """
 
 from __future__ import annotations
@@ -93,7 +96,8 @@ def intervals(prefixes: np.ndarray) -> list[tuple[int, int, int]]:
         depth, first = (int(prefixes[n]) if n < len(prefixes) else -1), n - 1
         while stack and stack[-1][0] > depth:
             top, first = stack.pop()
-            if n - first > 1:
+            # the root counts only where nothing longer is common to all
+            if n - first > 1 and prefixes[first + 1 : n].min() == top:
                 found.append((top, first, n))
         if depth >= 0 and (not stack or stack[-1][0] < depth):
             stack.append((depth, first))
@@ -105,16 +109,17 @@ def maximal_repeats(sides: list[tuple[bytes, bytes]], need: int) -> list[tuple[i
 
     ``left + right`` is at least ``need``. An interval's members agree on the
     right; sorted by their reversed left sides, runs of them agree on the left. A
-    run counts where extending it to the left loses a member: its members' left
-    sides differ there, or one ends.
+    run counts where extending it to the left loses a member (its members' left
+    sides differ there, or one ends) and where the interval is the smallest that
+    holds it, so that extending it to the right loses one too.
     """
     order = sorted(range(len(sides)), key=lambda i: sides[i][1])
     backwards = sorted(range(len(sides)), key=lambda i: sides[i][0][::-1])
     prefixes = _neighbours([sides[i][1] for i in order])
     left_prefixes = _neighbours([sides[i][0][::-1] for i in backwards])
-    rank = np.empty(len(sides), np.int64)
-    rank[backwards] = np.arange(len(sides))
-    order = np.array(order)
+    rank, right_rank = np.empty(len(sides), np.int64), np.empty(len(sides), np.int64)
+    rank[backwards] = right_rank[order] = np.arange(len(sides))
+    order, backwards = np.array(order), np.array(backwards)
     out = []
     for depth, first, end in intervals(prefixes):
         members = order[first:end]
@@ -122,8 +127,10 @@ def maximal_repeats(sides: list[tuple[bytes, bytes]], need: int) -> list[tuple[i
         # least common left side between neighbours of the interval
         common = np.array([left_prefixes[a + 1 : b + 1].min() for a, b in zip(ranks[:-1], ranks[1:], strict=True)])
         for left, a, b in intervals(np.append(0, common)):
-            if left + depth >= need:
-                out.append((left, depth, np.array(backwards)[ranks[a:b]]))
+            own = backwards[ranks[a:b]]
+            places = right_rank[own]
+            if left + depth >= need and prefixes[places.min() + 1 : places.max() + 1].min() == depth:
+                out.append((left, depth, own))
     return out
 
 
