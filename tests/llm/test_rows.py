@@ -54,7 +54,14 @@ def test_packing_any_lengths(spark, seed):
     df = spark.createDataFrame([(n,) for n in lengths], "length int").withColumn("offset", F.lit("mine"))
     got = packing.pack(df, 100).collect()
     assert Counter(r["length"] for r in got) == Counter(lengths)
-    assert check_packed(got, 100) <= 1.02 * sum(lengths) / 100 + 1
+    first_fit: list = []
+    for n in sorted(lengths, reverse=True):
+        at = next((k for k, gap in enumerate(first_fit) if gap >= n), None)
+        if at is None:
+            first_fit.append(100 - n)
+        else:
+            first_fit[at] -= n
+    assert check_packed(got, 100) <= len(first_fit)
 
 
 def test_a_smallest_piece_gives_way_to_two():
@@ -174,7 +181,7 @@ def test_fingerprints_and_edits(docs, clashing, no_docs):
     texts = defaultdict(set)
     for r in got:
         texts[r["fingerprint"]].add((r["doc_id"]))
-    assert {27, 28, 5} in texts.values()
+    assert any({27, 28, 5} <= same for same in texts.values())
     assert spotsigs.fingerprints(clashing).count() == len(data) and spotsigs.fingerprints(no_docs).count() == 0
 
 
@@ -217,7 +224,7 @@ def test_greatest_products(spark, monkeypatch, page):
 
     trees = [mtree.Tree(mtree._plant(pd.DataFrame([x.asDict() | {"chunk": c} for x in part]))) for c, part in chunks.items()]
     for r in rows:
-        if r["vec_id"] is not None and r["vec_id"] % 20 == 0:
+        if r["vec_id"] != (1 << 63) - 1 and r["vec_id"] % 20 == 0:
             q = np.frombuffer(r["vector"], np.int64).astype(float)
             best = []
             for t in trees:

@@ -74,7 +74,7 @@ def _plant(frame: pd.DataFrame) -> pd.DataFrame:
     norms = (vectors**2).sum(axis=1)
     bound = float(norms.max())
     points = np.column_stack([vectors, np.sqrt(bound - norms)])
-    known = frame["vec_id"].fillna(NULL_ID).to_numpy(np.int64)
+    known = frame["vec_id"].to_numpy(np.int64)
     rows = frame["_row"].to_numpy(np.int64)
     out = []
     for n, (parent, routing, radius, to_parent, members) in enumerate(grow(points)):
@@ -95,7 +95,8 @@ class Tree:
         self.routing = np.stack([np.frombuffer(r) for r in pages["routing"]])
         self.rows = [np.frombuffer(r, np.int64) for r in pages["rows"]]
         self.ids = [np.frombuffer(r, np.int64) for r in pages["ids"]]
-        self.vectors = [np.frombuffer(v).reshape(len(r), -1) for v, r in zip(pages["vectors"], self.rows, strict=True)]
+        size = self.routing.shape[1] - 1
+        self.vectors = [np.frombuffer(v).reshape(-1, size) for v in pages["vectors"]]
         self.distances = [np.frombuffer(d) for d in pages["distances"]]
         parents = pages["parent"].to_numpy()
         self.children = [np.flatnonzero(parents == n) for n in range(len(pages))]
@@ -138,13 +139,18 @@ class Tree:
 
 
 def whole_vectors(embeddings: DataFrame, scale: int = 64) -> DataFrame:
-    """``_row, vec_id, values``: ``floor(scale * x)`` of each component; rows with null or non-finite parts are left out."""
+    """``_row, vec_id, values``: ``floor(scale * x)`` of each component; rows with null or non-finite parts are left out.
+
+    A null id becomes the largest one.
+    """
     values = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
     sound = F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
     )
     return embeddings.where(F.col("embedding").isNotNull() & sound).select(
-        F.monotonically_increasing_id().alias("_row"), F.col("vec_id").cast("long").alias("vec_id"), values.alias("values")
+        F.monotonically_increasing_id().alias("_row"),
+        F.coalesce(F.col("vec_id").cast("long"), F.lit(NULL_ID)).alias("vec_id"),
+        values.alias("values"),
     )
 
 
@@ -211,5 +217,5 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: int = 64)
     vectors = materialize(
         whole_vectors(embeddings, scale).mapInArrow(_binary, "_row long, vec_id long, vector binary"), "vectors"
     )
-    found = search(index(vectors), vectors.where(F.col("vec_id") % every == 0), k)
+    found = search(index(vectors), vectors.where((F.col("vec_id") % every == 0) & (F.col("vec_id") != NULL_ID)), k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     )
     one = sparse.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     fitted = materialize(one.mapInArrow(fit, "weights binary"), "weights").first()
-    return np.frombuffer(fitted[0], np.float32)
+    return np.frombuffer(fitted[0], np.float32) if fitted else np.zeros((1 << BITS) + 1, np.float32)
 
 
 def score_of(data: bytes, weights: np.ndarray) -> float:
