@@ -48,6 +48,23 @@ def raw(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def apart(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, an aggregate to be joined on ``keys``, after a shuffle of its own.
+
+    Otherwise aggregate and join share one stage, whose partitions adaptive
+    execution must leave whole; so it can split the other side's hot keys.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 def map_texts(df: DataFrame, function: Callable[[list, list[bytes]], dict], schema: str) -> DataFrame:
     """``function(ids, texts)`` for each block of ``doc_id, text`` rows; it returns columns of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

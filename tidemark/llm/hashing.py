@@ -12,9 +12,8 @@ import numpy as np
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-_IDX_BITS = 26  # positions within one text array; a longer text is refused rather than cut
-MAX_LENGTH = 1 << _IDX_BITS
-_IDX = _U(MAX_LENGTH - 1)
+_IDX_BITS = 31  # positions within one text: a string column holds no longer one
+_IDX = _U((1 << _IDX_BITS) - 1)
 _ONES = _U(_MASK)
 
 
@@ -88,8 +87,6 @@ def minimizers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]
     n = len(hashes) - window + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(hashes) > MAX_LENGTH:
-        raise ValueError(f"a text of more than {MAX_LENGTH} positions")
     low = (hashes & ~_IDX) | np.arange(len(hashes), dtype=_U)
     step = 1
     while 2 * step <= window:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import free_name, let
 
 # Kinds in their order, patterns, and the least characters of a match (of its value).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -130,13 +130,13 @@ def entropy_places(text: Column) -> Column:
     return F.array_distinct(F.concat(*found))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_base`` and ``_spans``: arrays of ``start, kind, end`` by start, then kind; ends are exclusive."""
+def scan(docs: DataFrame, base_name: str = "_base", spans_name: str = "_spans") -> DataFrame:
+    """``docs`` with two arrays of ``start, kind, end`` by start, then kind, ends exclusive: fixed patterns' and all spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.array_sort(
         F.concat(places(text, ASSIGN, 0, value_group=2, least=6), places(text, ACCESS, 1), places(text, HEX, 2))
     )
-    return docs.withColumn("_base", base).withColumn("_spans", F.array_sort(F.concat("_base", entropy_places(text))))
+    return docs.withColumn(base_name, base).withColumn(spans_name, F.array_sort(F.concat(base_name, entropy_places(text))))
 
 
 def written(spans: Column) -> Column:
@@ -172,10 +172,11 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
             F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.coalesce(part, F.lit(""))).alias("out")
         )
 
-    found = scan(docs)
-    walked = F.aggregate("_spans", start, step)
+    spans_name = free_name(docs, "_spans")
+    found = scan(docs, free_name(docs, "_base"), spans_name)
+    walked = F.aggregate(spans_name, start, step)
     rest = text.substr(walked["at"] + 1, F.length(text))
-    clean = found.withColumn("text", F.when(F.size("_spans") > 0, F.concat(walked["out"], rest)).otherwise(text))
+    clean = found.withColumn("text", F.when(F.size(spans_name) > 0, F.concat(walked["out"], rest)).otherwise(text))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(docs.columns)
