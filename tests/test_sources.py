@@ -77,12 +77,21 @@ def test_tables_append_overwrite_partition_and_reset(spark, tmp_path):
         write_table(df, "star", "fact_subscription_usage", root, "append", partition_by="date_key", tag="t")
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+def test_a_cluster_without_a_shared_folder_is_refused():
     from tidemark import session
 
+    class Unset:
+        def sc(self):
+            return self
+
+        def getCheckpointDir(self):
+            return self
+
+        def isDefined(self):
+            return False
+
     class Context:
-        applicationId, master = "elsewhere", "yarn"
-        _jsc = spark.sparkContext._jsc
+        applicationId, master, _jsc = "elsewhere", "yarn", Unset()
 
     class Session:
         sparkContext = Context
