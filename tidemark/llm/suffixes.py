@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import blocks, id_text, map_texts, packed, unpack
+from .common import apart, blocks, free_name, id_text, map_texts, packed, unpack
 from .hashing import byte_values, covered, minimizers, run_hashes, signed
 
 GRAM = 128
@@ -55,24 +55,47 @@ def _around(data: bytes, at: int, length: int) -> int:
     return xxhash.xxh3_64_intdigest(before + data[at : at + GRAM] + after, len(before))
 
 
+def _merged(places: np.ndarray, reach: int) -> bytes:
+    """The spans around some places of a text, overlapping ones joined, as packed 32-bit starts and ends."""
+    starts, ends = places - reach, places + GRAM + reach
+    new = np.append(True, starts[1:] > ends[:-1])
+    pairs = np.column_stack([starts[new], ends[np.append(new[1:], True)]])
+    return pairs.astype(np.int32).tobytes()
+
+
 def _occurrences(rows: DataFrame, length: int) -> DataFrame:
-    """``row, at, anchor, around``: every anchor of every text, with 64-bit hashes."""
+    """``row, at, n, more, anchor, around``: the anchors of every text, with 64-bit hashes.
+
+    A text's ``n`` anchors of the same surroundings are one row, with the first
+    place; ``more`` then holds all their spans. So a line that a text repeats a
+    thousand times counts once.
+    """
+    reach = length - GRAM
 
     def run(ids, texts):
-        out = {"row": [], "at": [], "anchor": [], "around": []}
+        out = {c: [] for c in ("row", "at", "n", "more", "anchor", "around")}
         for row, data in zip(ids, texts, strict=True):
             if len(data) < length:
                 continue
             grams = run_hashes(byte_values(data), GRAM)
             places = minimizers(grams, length - GRAM + 1)[0]
-            out["row"].append(np.full(len(places), row, np.int64))
-            out["at"].append(places.astype(np.int32))
-            out["anchor"].append(signed(grams[places]))
-            out["around"].append(np.array([_around(data, p, length) for p in places.tolist()], np.uint64).view(np.int64))
-        types = {"at": np.int32}
-        return {c: np.concatenate([np.zeros(0, types.get(c, np.int64)), *v]) for c, v in out.items()}
-
-    return map_texts(rows, run, "row long, at int, anchor long, around long")
+            around = np.array([_around(data, p, length) for p in places.tolist()], np.uint64).view(np.int64)
+            anchor = signed(grams[places])
+            order = np.lexsort((places, around, anchor))
+            same = (np.diff(anchor[order]) == 0) & (np.diff(around[order]) == 0)
+            first = np.flatnonzero(np.append(True, ~same))
+            n = np.diff(first, append=len(order))
+            out["row"].append(np.full(len(first), row, np.int64))
+            out["at"].append(places[order[first]].astype(np.int32))
+            out["n"].append(n.astype(np.int32))
+            out["more"] += [_merged(places[order[f : f + k]], reach) if k > 1 else None for f, k in zip(first.tolist(), n.tolist(), strict=True)]
+            out["anchor"].append(anchor[order[first]])
+            out["around"].append(around[order[first]])
+        types = {"at": np.int32, "n": np.int32}
+        joined = {c: np.concatenate([np.zeros(0, types.get(c, np.int64)), *v]) for c, v in out.items() if c != "more"}
+        return joined | {"more": out["more"]}
+
+    return map_texts(rows, run, "row long, at int, n int, more binary, anchor long, around long")
 
 
 def _neighbours(items: list[bytes]) -> np.ndarray:
@@ -144,42 +167,44 @@ def _group_spans(sides: list[tuple[bytes, bytes]], need: int) -> tuple[np.ndarra
 
 
 def repeats(rows: DataFrame, length: int = 400) -> DataFrame:
-    """``row, starts, ends``: byte spans of each text (``doc_id, text``, ids unique) that repeated strings cover.
+    """``row, spans``: what repeated strings cover of each text (``doc_id, text``, ids unique).
 
     A string of ``length`` bytes is repeated if it starts anywhere else, in the
-    same text too. Texts without a repeated string have no row.
+    same text too. Texts without a repeated string have no row. A span has
+    ``start``, ``end``, which may lie beyond the text, and ``more``, packed pairs
+    instead of these.
     """
     reach = length - GRAM
     occurrences = _occurrences(rows, length)
     groups = (
         occurrences.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("least"), F.max("around").alias("most"))
-        .where("n > 1")
+        .agg(F.sum("n").alias("total"), F.min("around").alias("least"), F.max("around").alias("most"))
+        .where("total > 1")
         .select("anchor", (F.col("least") != F.col("most")).alias("mixed"))
     )
     # repeated anchors, written once: several plans read them
-    shared = materialize(occurrences.join(groups, "anchor"), "anchors")
+    shared = materialize(occurrences.join(apart(groups, "anchor"), "anchor"), "anchors")
     # in groups of several surroundings, those that occur twice cover their places at once
     classes = materialize(
         shared.where("mixed")
         .groupBy("anchor", "around")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("place")),
+        .agg(F.sum("n").alias("n"), F.min(F.struct("row", "at")).alias("place")),
         "surroundings",
     )
     sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
     twice = classes.where("n > 1").select("anchor", "around")
-    whole = shared.where("not mixed").select("row", "at").union(
-        shared.where("mixed").join(twice, ["anchor", "around"], "left_semi").select("row", "at")
+    places = shared.where("not mixed").unionByName(
+        shared.where("mixed").join(twice, ["anchor", "around"], "left_semi").select(shared.columns)
+    )
+    whole = places.select(
+        "row", (F.col("at") - reach).alias("start"), (F.col("at") + GRAM + reach).alias("end"), "more"
     )
-    whole = whole.select("row", (F.col("at") - reach).alias("start"), (F.col("at") + GRAM + reach).alias("end"))
     known = _surroundings(rows, classes.join(sizes, "anchor"), length)
     partial = _in_groups(known.where(F.col("members") <= MEMBERS), length).unionByName(
         _in_windows(known.where(F.col("members") > MEMBERS), length)
     )
-    spans = whole.select("row", "start", "end").unionByName(partial)
-    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")).select(
-        "row", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")
-    )
+    spans = whole.unionByName(partial.withColumn("more", F.lit(None).cast("binary")))
+    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", "more")).alias("spans"))
 
 
 def _surroundings(rows: DataFrame, classes: DataFrame, length: int) -> DataFrame:
@@ -256,12 +281,14 @@ def _in_windows(known: DataFrame, length: int) -> DataFrame:
     columns = ["row", "at", "anchor", "n", "members", "before", "after"]
     windows = known.select(columns).mapInArrow(run, schema)
     counts = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h1", "h2")
-    found = windows.where("n = 1").join(counts, ["h1", "h2"], "left_semi").groupBy("row", "at").agg(F.max("before").alias("a"), F.min("before").alias("b"))
-    return found.select("row", (F.col("at") - F.col("a")).alias("start"), (F.col("at") + (length - F.col("b"))).cast("int").alias("end"))
+    repeated = windows.where("n = 1").join(apart(counts, "h1", "h2"), ["h1", "h2"], "left_semi")
+    found = repeated.groupBy("row", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
+    start, end = F.col("at") - F.col("most"), F.col("at") + (length - F.col("least"))
+    return found.select("row", start.alias("start"), end.cast("int").alias("end"))
 
 
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """``row, doc_id, packed, starts, ends`` for every row; see ``repeats``. The spans may reach beyond the text."""
+    """``row, doc_id, packed, spans`` for every row; see ``repeats``."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))
     texts = id_text(rows, "row")
     ids = rows.select("row", F.col("doc_id").cast("long").alias("doc_id"))
@@ -270,15 +297,17 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         .withColumnRenamed("doc_id", "row")
         .join(repeats(texts, length), "row", "left")
         .join(ids, "row")
-        .select("row", "doc_id", "packed", "starts", "ends")
+        .select("row", "doc_id", "packed", "spans")
     )
 
 
-def gone(data: bytes, starts, ends) -> np.ndarray:
+def gone(data: bytes, spans: list[dict] | None) -> np.ndarray:
     """Mask of the bytes that the spans cover."""
-    if not starts:
+    if not spans:
         return np.zeros(len(data), bool)
-    return covered(np.clip(starts, 0, len(data)), np.clip(ends, 0, len(data)), len(data))
+    pairs = [np.frombuffer(s["more"], np.int32) if s["more"] else np.array([s["start"], s["end"]]) for s in spans]
+    edges = np.clip(np.concatenate(pairs).reshape(-1, 2), 0, len(data))
+    return covered(edges[:, 0], edges[:, 1], len(data))
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
@@ -292,16 +321,16 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     def run(batches):
         for block in blocks(batches):
             out = []
-            for doc, data, starts, ends in zip(block.column(0).to_pylist(), unpack(block.column(1)), *(block.column(n).to_pylist() for n in (2, 3)), strict=True):
-                cut = gone(data, starts, ends)
+            for doc, data, spans in zip(block.column(0).to_pylist(), unpack(block.column(1)), block.column(2).to_pylist(), strict=True):
+                cut = gone(data, spans)
                 kept = np.frombuffer(data, np.uint8)[~cut].tobytes()
-                n_spans = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) == 1))
-                out.append((doc, len(data), len(data) - len(kept), n_spans, sha256(kept).hexdigest()))
+                runs = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) == 1))
+                out.append((doc, len(data), len(data) - len(kept), runs, sha256(kept).hexdigest()))
             types = [pa.int64()] * 4 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate(types)], names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return marked(docs, id_col, text_col, length).select("doc_id", "packed", "starts", "ends").mapInArrow(run, schema)
+    return marked(docs, id_col, text_col, length).select("doc_id", "packed", "spans").mapInArrow(run, schema)
 
 
 def strip_texts(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -309,21 +338,18 @@ def strip_texts(docs: DataFrame, length: int = 400) -> DataFrame:
 
     Text stays valid: a character goes only if all its bytes do. Null stays null.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    spans = repeats(id_text(numbered, "_row"), length).withColumnRenamed("row", "_row")
-    return cut_texts(numbered.join(spans, "_row", "left").drop("_row"), docs)
-
-
-def cut_texts(marked_docs: DataFrame, docs: DataFrame) -> DataFrame:
+    row, spans_name = free_name(docs, "_row"), free_name(docs, "_cut")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = repeats(id_text(numbered, row), length).select(F.col("row").alias(row), F.col("spans").alias(spans_name))
     names = docs.columns
     text = names.index("text")
 
     def run(batches):
         for block in blocks(batches):
             texts = []
-            for data, starts, ends in zip(block.column(text).cast(pa.binary()).to_pylist(), *(block.column(n).to_pylist() for n in ("starts", "ends")), strict=True):
-                if data and starts:
-                    cut = gone(data, starts, ends)
+            for data, spans in zip(block.column(text).cast(pa.binary()).to_pylist(), block.column(len(names)).to_pylist(), strict=True):
+                if data and spans:
+                    cut = gone(data, spans)
                     first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
                     chars = np.logical_and.reduceat(cut, first)
                     whole = np.repeat(chars, np.diff(first, append=len(data)))
@@ -333,5 +359,5 @@ def cut_texts(marked_docs: DataFrame, docs: DataFrame) -> DataFrame:
             columns[text] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    out = marked_docs.select(*names, "starts", "ends").mapInArrow(run, docs.schema)
+    out = numbered.join(found, row, "left").select(*names, spans_name).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
