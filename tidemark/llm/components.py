@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import apart
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,13 +17,13 @@ def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a vertex is tied to the smallest vertex of its neighbourhood."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(apart(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours are tied to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(apart(least, "a"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import NULL_ID, id_text, map_texts
+from .common import NULL_ID, apart, free_name, id_text, map_texts
 from .components import components
 
 SEED = 42
@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", radius: int = 4, sh
     """
     found = groups(materialize(fingerprints(docs, id_col, shingle), "fingerprints"), radius)
     least = found.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    return found.join(least, "_group").select(
+    return found.join(apart(least, "_group"), "_group").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -168,11 +168,10 @@ def one_of_each(docs: DataFrame, radius: int = 5, shingle: int = 1, distinct: bo
     shingles, beyond what covering tables can search, and in about 3 bits of one
     over distinct words.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    marks = fingerprints(rows, "_row", shingle, distinct).withColumnRenamed("doc_id", "_row")
-    found = groups(materialize(marks, "fingerprints"), radius)
-    ids = rows.select("_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"))
-    kept = (
-        found.join(ids, "_row").groupBy("_group").agg(F.min(F.struct("_id", "_row")).alias("_first")).select("_first._row")
-    )
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    row = free_name(docs, "_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    marks = materialize(fingerprints(rows, row, shingle, distinct).withColumnRenamed("doc_id", "_at"), "fingerprints")
+    ids = rows.select(F.col(row).alias("_at"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"))
+    first = F.min(F.struct("_id", "_at")).alias("_first")
+    kept = groups(marks, radius).join(ids, "_at").groupBy("_group").agg(first).select(F.col("_first._at").alias(row))
+    return rows.join(kept, row, "left_semi").select(docs.columns)
