@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, blocks, id_text, map_texts, packed, unpack
+from .common import NULL_ID, apart, blocks, id_text, map_texts, packed, unpack
 from .hashing import covered, minimizers, run_hashes, signed, span_hashes, word_spans
 
 GRAM = 10  # words of an anchor
@@ -55,7 +55,7 @@ def _copies(docs: DataFrame, length: int) -> DataFrame:
     digests = map_texts(docs, run, "doc_id long, digest binary")
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     return (
-        digests.join(first.where("first < last"), "digest")
+        digests.join(apart(first.where("first < last"), "digest"), "digest")
         .where("doc_id > first")
         .groupBy("doc_id")
         .agg(F.collect_set("digest").alias("copies"))
@@ -75,7 +75,7 @@ def _shared(docs: DataFrame, length: int) -> DataFrame:
     anchors = map_texts(docs, run, "doc_id long, anchor long")
     ends = anchors.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     return (
-        anchors.join(ends.where("first < last"), "anchor")
+        anchors.join(apart(ends.where("first < last"), "anchor"), "anchor")
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("anchor", "first")).alias("found"))
         .select("doc_id", F.col("found.anchor").alias("anchors"), F.col("found.first").alias("firsts"))
@@ -121,7 +121,8 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     copies = _copies(docs, length)
     lookups = _lookups(docs, copies, length)
     # 128 bits decide: the window's and its anchor's hash
-    first = lookups.groupBy("anchor", "window").agg(F.min("doc_id").alias("source"))
+    ends = lookups.groupBy("anchor", "window").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
+    first = apart(ends.where("source < last").drop("last"), "anchor", "window")
     found = (
         lookups.where("first < doc_id")
         .drop("first")
