@@ -14,8 +14,6 @@ triangle inequality over the stored distances rules them out.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +27,7 @@ CHUNK_ROWS = 8192  # vectors of one tree
 BLOCK_ROWS = 2048  # queries that search a tree together
 PAGE = 512  # members of a leaf
 FANOUT = 16  # children of an inner page
+TOGETHER = 1024  # queries that go through a tree side by side
 
 _PAGE_SCHEMA = (
     "chunk long, page int, parent int, radius double, to_parent double, bound double, routing binary, "
@@ -101,41 +100,101 @@ class Tree:
         parents = pages["parent"].to_numpy()
         self.children = [np.flatnonzero(parents == n) for n in range(len(pages))]
 
-    def top(self, query: np.ndarray, own_row: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and products of the ``k`` greatest products, ties to smaller ids, without the query's own row."""
-        top = float(query @ query) + self.bound
-        slack = 1e-3 + 1e-9 * top  # products are whole numbers; distances are rounded
-        point = np.append(query, 0.0)
-
-        def best(distance):
-            return (top - np.maximum(distance, 0.0) ** 2) / 2 + slack
-
-        ids, scores, rows = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-        least = -np.inf
-        start = float(np.sqrt(((point - self.routing[0]) ** 2).sum()))
-        heap = [(-float(best(start - self.radius[0])), 0, start)]
-        while heap and -heap[0][0] >= least:
-            _, page, away = heapq.heappop(heap)
-            if len(self.rows[page]):
-                near = np.flatnonzero(best(np.abs(away - self.distances[page])) >= least)
-                near = near[self.rows[page][near] != own_row]
-                ids = np.concatenate([ids, self.ids[page][near]])
-                scores = np.concatenate([scores, self.vectors[page][near] @ query])
-                rows = np.concatenate([rows, self.rows[page][near]])
-                keep = np.lexsort((rows, ids, -scores))[:k]
-                ids, scores, rows = ids[keep], scores[keep], rows[keep]
-                if len(ids) == k:
-                    least = scores[-1]
-            # a child is measured only if its parent's distance leaves it a chance
-            children = self.children[page]
-            if len(children):
-                reach = np.abs(away - self.to_parent[children]) - self.radius[children]
-                children = children[best(reach) >= least]
-                d = np.sqrt(((self.routing[children] - point) ** 2).sum(axis=1))
-                for c, b, a in zip(children.tolist(), best(d - self.radius[children]).tolist(), d.tolist(), strict=True):
-                    if b >= least:
-                        heapq.heappush(heap, (-b, c, a))
-        return ids, scores.astype(np.int64)
+    def _away(self, points: np.ndarray, pages: np.ndarray) -> np.ndarray:
+        """Distances of some queries to the routing vectors of some pages."""
+        return np.sqrt(((points[:, None, :] - self.routing[None, pages, :]) ** 2).sum(axis=2))
+
+    def top(self, queries: np.ndarray, own_rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, id and product of every query's ``k`` greatest products, ties to smaller ids, without its own row.
+
+        Every query first visits the page that promises most to it. Pages then come
+        in the order of their best possible product, each for those queries together
+        that could still find something in it.
+        """
+        search = _Search(self, queries, own_rows, k)
+        # the page at the end of the most promising path gives each query a first k-th product
+        page, away = np.zeros(len(queries), np.int64), self._away(search.points, np.zeros(1, np.int64))[:, 0]
+        inner = np.array([len(c) > 0 for c in self.children])
+        while inner[page].any():
+            for p in np.unique(page[inner[page]]):
+                here, children = np.flatnonzero(page == p), self.children[p]
+                d = self._away(search.points[here], children)
+                chosen = (d - self.radius[children]).argmin(axis=1)
+                page[here], away[here] = children[chosen], d[np.arange(len(here)), chosen]
+        for p in np.unique(page):
+            here = np.flatnonzero(page == p)
+            search.visit(p, here, away[here])
+        bounds, distances = self._leaves(search)
+        bounds[np.arange(len(queries)), page] = -np.inf
+        # then the pages by the best that any query may find there
+        for p in np.argsort(-bounds.max(axis=0)):
+            here = np.flatnonzero(bounds[:, p] >= search.least)
+            here = here[np.isfinite(bounds[here, p])]
+            if len(here):
+                search.visit(p, here, distances[here, p])
+        return search.of, search.ids, search.scores.astype(np.int64)
+
+    def _leaves(self, search: _Search) -> tuple[np.ndarray, np.ndarray]:
+        """Each query's best possible product in every leaf, -inf where a bound above rules it out, and its distance."""
+        shape = (len(search.points), len(self.children))
+        bounds, away = np.full(shape, -np.inf), np.full(shape, np.inf)
+        away[:, 0] = self._away(search.points, np.zeros(1, np.int64))[:, 0]
+        every = np.arange(shape[0])
+        for p, children in enumerate(self.children):  # parents stand before their children
+            best = search.best(every, away[:, p] - self.radius[p])
+            alive = np.flatnonzero((best >= search.least) & np.isfinite(away[:, p]))
+            if not len(children):
+                bounds[alive, p] = best[alive]
+                continue
+            # a child is measured only where its stored distance to the parent leaves it a chance
+            reach = np.abs(away[alive, p][:, None] - self.to_parent[children]) - self.radius[children]
+            chance = search.best(alive[:, None], reach) >= search.least[alive][:, None]
+            some, wanted = chance.any(axis=1), chance.any(axis=0)
+            if some.any():
+                d = self._away(search.points[alive[some]], children[wanted])
+                d[~chance[some][:, wanted]] = np.inf
+                away[np.ix_(alive[some], children[wanted])] = d
+        return bounds, away
+
+
+class _Search:
+    """What a block of queries has found so far."""
+
+    def __init__(self, tree: Tree, queries: np.ndarray, own_rows: np.ndarray, k: int):
+        self.tree, self.queries, self.own_rows, self.k = tree, queries, own_rows, k
+        self.points = np.column_stack([queries, np.zeros(len(queries))])
+        self.total = (queries**2).sum(axis=1) + tree.bound
+        # products are whole numbers; distances are rounded
+        self.slack = 1e-3 + 1e-9 * self.total
+        self.least = np.full(len(queries), -np.inf)
+        self.of, self.ids, self.rows = (np.zeros(0, np.int64) for _ in range(3))
+        self.scores = np.zeros(0)
+
+    def best(self, at: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """The greatest product at ``distance`` or farther, for queries ``at``."""
+        return (self.total[at] - np.maximum(distance, 0.0) ** 2) / 2 + self.slack[at]
+
+    def visit(self, page: int, here: np.ndarray, away: np.ndarray) -> None:
+        tree = self.tree
+        near = self.best(here[:, None], np.abs(away[:, None] - tree.distances[page])) >= self.least[here][:, None]
+        members = np.flatnonzero(near.any(axis=0))
+        scores = self.queries[here] @ tree.vectors[page][members].T
+        found = near[:, members] & (scores >= self.least[here][:, None])
+        found &= tree.rows[page][members][None, :] != self.own_rows[here][:, None]
+        q, m = np.nonzero(found)
+        of = np.concatenate([self.of, here[q]])
+        ids = np.concatenate([self.ids, tree.ids[page][members[m]]])
+        rows = np.concatenate([self.rows, tree.rows[page][members[m]]])
+        scores = np.concatenate([self.scores, scores[q, m]])
+        order = np.lexsort((rows, ids, -scores, of))
+        of = of[order]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        nth = np.arange(len(of)) - np.repeat(first, np.diff(first, append=len(of)))
+        kept = nth < self.k
+        order = order[kept]
+        self.of, self.ids, self.rows, self.scores = of[kept], ids[order], rows[order], scores[order]
+        last = nth[kept] == self.k - 1
+        self.least[self.of[last]] = self.scores[last]
 
 
 def whole_vectors(embeddings: DataFrame, scale: int = 64) -> DataFrame:
@@ -187,9 +246,13 @@ def search(pages: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         out = []
         if len(asked) and len(pages):
             tree = Tree(pages)
-            for row, vec_id, vector in zip(asked["_row"], asked["vec_id"], asked["vector"], strict=True):
-                ids, scores = tree.top(np.frombuffer(vector, np.int64).astype(np.float64), row, k)
-                out.append(pd.DataFrame({"query_row": row, "query_id": vec_id, "vec_id": ids, "score": scores}))
+            queries = np.stack([np.frombuffer(v, np.int64) for v in asked["vector"]]).astype(np.float64)
+            rows, ids = asked["_row"].to_numpy(np.int64), asked["vec_id"].to_numpy(np.int64)
+            for start in range(0, len(rows), TOGETHER):
+                part = slice(start, start + TOGETHER)
+                of, found, scores = tree.top(queries[part], rows[part], k)
+                frame = {"query_row": rows[part][of], "query_id": ids[part][of], "vec_id": found, "score": scores}
+                out.append(pd.DataFrame(frame))
         if not out:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_row", "query_id", "vec_id", "score")})
         return pd.concat(out)
