@@ -11,10 +11,8 @@ import numpy as np
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 _IDX_BITS = 31  # positions within one text: a string column holds no longer one
 _IDX = _U((1 << _IDX_BITS) - 1)
-_ONES = _U(_MASK)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -38,11 +38,6 @@ GRAM = 128
 MEMBERS = 256
 
 
-def _anchors(data: bytes, length: int) -> np.ndarray:
-    """Start bytes of a text's anchors, ascending."""
-    return minimizers(run_hashes(byte_values(data), GRAM), length - GRAM + 1)[0]
-
-
 def _sides(data: bytes, at: int, length: int) -> tuple[bytes, bytes]:
     """What stands before and after an anchor, as far as a window around it can reach."""
     reach = length - GRAM
