@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from hashlib import sha256
@@ -184,3 +185,76 @@ def test_one_row_of_each_group_stays(docs, clashing, no_docs):
     kept = Counter(r["doc_id"] for r in got.collect())
     assert kept[4] == 1 and kept[5] == 1 and kept[27] == kept[28] == 0
     assert simhash.one_of_each(no_docs).count() == 0
+
+
+def shingle_set(text, width=5):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else {()}
+
+
+def alike(a, b):
+    return len(a & b) * 5 >= len(a | b) * 4
+
+
+def one_of_each_by_pairs(docs):
+    """Ids of the rows that stay: the first of what pairs of 80% connect."""
+    order = sorted(docs, key=lambda r: NULLS_LAST if r[0] is None else r[0])
+    sets = [shingle_set(t) for _, t, *_ in order]
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if group[i] != group[j] and alike(sets[i], sets[j]):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return Counter(order[n][0] for n, g in enumerate(group) if g == n)
+
+
+def like_texts():
+    """Near copies in chains, and texts of the same words whose five-word shingles differ."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(6):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for _ in range(4):
+            texts.append(" ".join(words))
+            for _ in range(3):  # the last of a chain is below 80% of the first
+                words[rng.randrange(300)] = f"w{rng.randrange(5000)}"
+            shuffled = words[:]
+            rng.shuffle(shuffled)
+            texts.append(" ".join(shuffled))
+        texts.append(" ".join(sorted(words)))
+    few = "one two three four five six seven".split()
+    texts += [" ".join(rng.sample(few, 7)) for _ in range(20)] + [" ".join(few[:3]), " ".join(few[2::-1]), "One  two three", "", " "]
+    rng.shuffle(texts)
+    return [(n, t) for n, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("members", [simhash.MEMBERS, 1])
+def test_only_texts_of_like_shingles_go(spark, docs, tmp_path, monkeypatch, members):
+    """With few members each candidate set is split by rare shingles before it is clustered."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    spark.createDataFrame(like_texts(), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "like"))
+    got = simhash.one_of_each(spark.read.parquet(str(tmp_path / "like")))
+    want = one_of_each_by_pairs(like_texts())
+    assert len(want) < len(like_texts()) - 15
+    assert Counter(r["doc_id"] for r in got.collect()) == want
+    assert Counter(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == one_of_each_by_pairs(documents())
+
+
+def test_clusters_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(1 << 40, n, replace=False).astype(np.uint64) for n in rng.integers(0, 40, 40)]
+    for _ in range(160):
+        own = sets[rng.integers(len(sets))].copy()
+        if len(own):
+            own[rng.integers(len(own), size=max(1, len(own) // 12))] = rng.integers(1 << 40)
+        sets.append(np.unique(own))
+    sets = [np.unique(s) for s in sets]
+    want = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            a, b = set(sets[i].tolist()), set(sets[j].tolist())
+            if a & b and alike(a, b):
+                old, new = max(want[i], want[j]), min(want[i], want[j])
+                want = [new if g == old else g for g in want]
+    assert simhash.clusters(sets).tolist() == want and len(set(want)) < 150
