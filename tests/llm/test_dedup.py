@@ -258,3 +258,22 @@ def test_clusters_are_those_of_all_pairs():
                 old, new = max(want[i], want[j]), min(want[i], want[j])
                 want = [new if g == old else g for g in want]
     assert simhash.clusters(sets).tolist() == want and len(set(want)) < 150
+
+
+def test_equal_sides_of_different_anchors_are_no_repeat(spark, tmp_path, monkeypatch):
+    """Anchors of many surroundings are counted by windows; what stands in the anchor is part of a window."""
+    monkeypatch.setattr(suffixes, "MEMBERS", 1)
+    rng = np.random.default_rng(4)
+    letters = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    pool = letters(60_000)
+    least = np.argsort(suffixes.run_hashes(suffixes.byte_values(pool), suffixes.GRAM))
+    first, second = (pool[p : p + suffixes.GRAM] for p in least[:2])  # minimizers of any window around them
+    reach = 400 - suffixes.GRAM
+    sides = [(letters(reach), letters(reach)) for _ in range(3)]
+    texts = [(x + anchor + y).decode() for anchor in (first, second) for x, y in sides]
+    texts.append((letters(300) + sides[0][0][-200:] + first + sides[0][1][:100] + letters(300)).decode())
+    data = list(enumerate(texts))
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "sides"))
+    want = expected_bytes(data)
+    assert sorted(n[2] for n in want) == [0] * 5 + [428, 428]
+    assert rows(suffixes.remove(spark.read.parquet(str(tmp_path / "sides")))) == want

@@ -260,23 +260,24 @@ def _in_windows(known: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for block in blocks(batches, 64):
-            row, at, _, n = (block.column(c).to_pylist() for c in range(4))
+            row, at, anchor, n = (block.column(c).to_pylist() for c in range(4))
             out = []
             for k, (before, after) in enumerate(zip(block.column(5).to_pylist(), block.column(6).to_pylist(), strict=True)):
-                # windows that start `start` bytes before the anchor; the anchor itself is the same in all
+                # windows that start `start` bytes before the anchor, which is part of the key
                 for start in range(max(0, length - GRAM - len(after)), len(before) + 1):
                     side = before[len(before) - start :] + after[: length - GRAM - start]
                     h = xxhash.xxh3_128_intdigest(side, start)
-                    out.append((row[k], at[k], n[k], start, (h >> 65) - (1 << 62), (h & ((1 << 63) - 1))))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                    out.append((row[k], at[k], n[k], anchor[k], start, (h >> 65) - (1 << 62), (h & ((1 << 63) - 1))))
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names)
 
-    names = ["row", "at", "n", "before", "h1", "h2"]
-    schema = "row long, at int, n long, before int, h1 long, h2 long"
+    names = ["row", "at", "n", "anchor", "before", "h1", "h2"]
+    key = ["anchor", "h1", "h2"]
+    schema = "row long, at int, n long, anchor long, before int, h1 long, h2 long"
     columns = ["row", "at", "anchor", "n", "members", "before", "after"]
     windows = known.select(columns).mapInArrow(run, schema)
-    counts = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h1", "h2")
-    repeated = windows.where("n = 1").join(apart(counts, "h1", "h2"), ["h1", "h2"], "left_semi")
+    counts = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key)
+    repeated = windows.where("n = 1").join(apart(counts, *key), key, "left_semi")
     found = repeated.groupBy("row", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
     start, end = F.col("at") - F.col("most"), F.col("at") + (length - F.col("least"))
     return found.select("row", start.alias("start"), end.cast("int").alias("end"))
