@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.sources.testtables import DAMAGED_SQL, RAW_SQL, SOURCES
+from tidemark.sources.testtables import DAMAGED_SQL, EARLIER_SQL, RAW_SQL, SOURCES
 
 from . import rules as r
 
@@ -518,6 +518,55 @@ FINALS |= {
 SELECT row_number() OVER (ORDER BY CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END, account_id) AS account_key, account_id
 FROM (SELECT account_id, substr(account_id, 3)::BIGINT AS n FROM accounts) AS t""",
 }
+# ---- second loads: each must equal what one load of all rows gives ----
+
+CTES["raw_earlier_accounts"] = EARLIER_SQL["accounts"].format(**{t: t for t in SOURCES})
+CTES["earlier_accounts"] = CTES["accounts"].replace("raw_accounts", "raw_earlier_accounts")
+_MONTH = "(date_key // 100) * 12 + date_key % 100"
+# clean and star tables by the number of tables that must be there before them, one behind the other
+_LEVELS = {
+    "accounts": 0, "dim_churn_reason": 0, "subscriptions": 1, "churn_events": 1, "support_tickets": 1, "dim_account": 1,
+    "feature_usage": 2, "dim_date": 2, "dim_subscription": 2, "fact_subscriptions": 3, "fact_churn_events": 3,
+    "fact_subscription_usage": 3,
+}
+
+
+def _steps(tables: tuple, step) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {step(_LEVELS[t])}::BIGINT AS step FROM {t}" for t in tables
+    )
+
+
+_CHANGED = {"account_name": "account_name", "industry": "industry", "country": "country", "initial_plan_tier": "plan_tier"}
+FINALS |= {
+    "fact_subscription_usage_second_load": "SELECT * FROM fact_subscription_usage",
+    # events of even numbers were loaded first
+    "fact_churn_events_extended": """
+SELECT * REPLACE (refund_amount_usd::DOUBLE AS refund_amount_usd, row_number() OVER (
+  ORDER BY substr(churn_event_id, 3)::BIGINT % 2, churn_event_id) AS churn_event_key)
+FROM fact_churn_events""",
+    "dedupe_second_load": _whole("churn_events"),
+    "rollups_merged": "SELECT * FROM monthly_feature",
+    "ticket_rollups_merged": "SELECT * FROM ticket_monthly",
+    "low_engagement_streak": f"""
+SELECT subscription_id, date_key, active_days,
+  CASE WHEN low THEN row_number() OVER (PARTITION BY subscription_id, low, m - place ORDER BY m) ELSE 0 END AS low_engagement_streak
+FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id, low ORDER BY m) AS place
+      FROM (SELECT *, {_MONTH} AS m, active_days < 5 AS low FROM monthly_feature) AS s) AS t""",
+    "mom_delta_calendar": f"""
+SELECT a.subscription_id, a.date_key, a.active_days, a.active_days - b.active_days AS mom_active_days_delta
+FROM (SELECT *, {_MONTH} AS m FROM monthly_feature) AS a
+LEFT JOIN (SELECT *, {_MONTH} AS m FROM monthly_feature) AS b ON a.subscription_id = b.subscription_id AND a.m = b.m + 1""",
+    "dim_date_extended": _whole("dim_date"),
+    "account_changes": "\nUNION ALL\n".join(
+        f"SELECT e.account_key, '{a}' AS attribute, e.{c} AS old_value, n.{c} AS new_value, '2001-12-01' AS changed_on "
+        "FROM (SELECT row_number() OVER (ORDER BY account_id) AS account_key, * FROM earlier_accounts) AS e "
+        f"JOIN accounts AS n ON lower(e.account_id) = lower(n.account_id) WHERE e.{c} IS DISTINCT FROM n.{c}"
+        for a, c in _CHANGED.items()
+    ),
+    "load_order": _steps(tuple(_LEVELS), lambda n: n),
+    "reset_order": _steps(r.STAR_TABLES, lambda n: 3 - n),
+}
 # Over rows accepted by a quarantine load, and those it kept apart.
 _QUARANTINE = {
     f"rejected_{t}": f"SELECT violations, count(*) AS n_rows FROM {t}_tagged WHERE violations <> '' GROUP BY 1"
@@ -566,7 +615,15 @@ def _with_ctes(final: str, ctes: dict[str, str]) -> str:
     return f"WITH {parts}\n{final.strip()}" if parts else final.strip()
 
 
+def _paying() -> dict[str, str]:
+    """Facts of subscriptions that are no trials."""
+    only = "SELECT * FROM {0}_every WHERE subscription_key IN (SELECT subscription_key FROM dim_subscription WHERE NOT is_trial)"
+    facts = ("fact_subscriptions", "fact_subscription_usage")
+    return CTES | {f"{t}_every": CTES[t] for t in facts} | {t: only.format(t) for t in facts}
+
+
 def oracle_sql() -> dict[str, str]:
     accepted = _accepted()
     plain = {n: _with_ctes(text, _DAMAGED_CTES if n in ON_DAMAGED else CTES) for n, text in FINALS.items()}
-    return plain | {n: _with_ctes(text, accepted) for n, text in _QUARANTINE.items()}
+    paying = {f"{n}_paying": _with_ctes(text, _paying()) for n, text in FINALS.items() if re.match(r"q[1-5]_", n)}
+    return plain | paying | {n: _with_ctes(text, accepted) for n, text in _QUARANTINE.items()}

@@ -9,7 +9,7 @@ from .parse import (
     parse_uint,
 )
 from .text import blank_to_null, canonicalize, fold
-from .timekeys import hours_between, key_to_month, month_end, month_key, month_start
+from .timekeys import hours_between, key_to_month, month_end, month_key, month_number, month_start
 
 __all__ = [
     "blank_to_null",
@@ -21,6 +21,7 @@ __all__ = [
     "key_to_month",
     "month_end",
     "month_key",
+    "month_number",
     "month_start",
     "parse_decimal",
     "parse_dmy",

@@ -15,6 +15,11 @@ def key_to_month(key: Column) -> Column:
     return F.make_date(F.call_function("div", key, F.lit(100)).cast("int"), key % 100, F.lit(1))
 
 
+def month_number(key: Column) -> Column:
+    """Months since year 0 of a ``yyyymm`` key: neighbours differ by one."""
+    return F.call_function("div", key, F.lit(100)).cast("int") * 12 + key % 100
+
+
 def month_start(c: Column) -> Column:
     return F.trunc(c, "MM")
 

@@ -8,12 +8,13 @@ from .keys import (
     with_position,
     with_surrogate_key,
 )
-from .windows import delta_prev, lead_over_next, rank_desc, running_count
+from .windows import delta_calendar, delta_prev, lead_over_next, rank_desc, running_count, with_streak
 
 __all__ = [
     "active_by_month",
     "avg_if",
     "by_segment",
+    "delta_calendar",
     "delta_prev",
     "extend_surrogate_key",
     "latest_per_key",
@@ -26,5 +27,6 @@ __all__ = [
     "running_count",
     "sum_if",
     "with_position",
+    "with_streak",
     "with_surrogate_key",
 ]

@@ -92,41 +92,113 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+Checked = Mapping[str, tuple[DataFrame, Constraints]]
+
+
 def audit(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """All constraints of one table: rows (rule, violations), zero where a rule holds."""
-    parts = [check_rules(df, constraints.row_rules())]
-    for name, cols in constraints.key_rules().items():
-        parts.append(summed(check_unique(df, cols), name))
-    for ref in constraints.references:
-        orphans = check_fk(df, parents[ref.parent], ref.column, ref.parent_column)
-        parts.append(summed(orphans, f"{ref.column} in {ref.parent}"))
-    return reduce(DataFrame.unionByName, parts)
+    """All constraints of one table: lines (rule, violations), zero where a rule holds."""
+    return audit_tables({"": (df, constraints)}, parents).drop("table_name")
+
+
+def audit_tables(
+    tables: Checked, parents: Mapping[str, DataFrame], rows: bool = True, keys: bool = True, references: bool = True
+) -> DataFrame:
+    """Constraints of some tables: lines (table_name, rule, violations), zero where a rule holds.
+
+    Every table is scanned once. A row is stacked into one line per key and per
+    reference, with the value, and one per row rule that it breaks; lines are
+    counted by value, so a value that fills much of a table is counted before it is
+    shuffled. What is left of all tables then meets the keys of all parents in one join.
+    """
+    counted, rules, wanted = [], [], {}
+    for table, (df, c) in tables.items():
+        parts, kinds = [], []
+
+        def line(name: str, value: Column, kind: str, parent: str):
+            parts.append(F.struct(F.lit(len(kinds)).alias("rule"), value.alias("value")))
+            kinds.append((name, kind, parent))
+
+        for name, predicate in (c.row_rules() if rows else {}).items():
+            line(name, F.lit(None).cast("string"), "row", "")
+            parts[-1] = F.when(~F.coalesce(F.expr(predicate), F.lit(True)), parts[-1])
+        for name, cols in (c.key_rules() if keys else {}).items():
+            line(name, _text_key(df, cols), "key", "")
+        for ref in c.references if references else ():
+            of = f"{ref.parent}.{ref.parent_column}"
+            line(f"{ref.column} in {ref.parent}", _text_key(df, [ref.column]), "reference", of)
+            wanted[of] = (ref.parent, ref.parent_column)
+        if not parts:
+            continue
+        names = F.array(*[F.struct(*map(F.lit, (table, n, k)), F.lit(p)) for n, k, p in kinds])
+        named = F.element_at(names, F.col("rule") + 1)
+        lines = df.select(F.inline(F.array_compact(F.array(*parts)))).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+        columns = ("table_name", "rule", "kind", "parent")
+        counted.append(lines.select(*[named[f"col{i + 1}"].alias(c) for i, c in enumerate(columns)], "value", "n"))
+        rules += [(table, n) for n, _, _ in kinds]
+    lines = reduce(DataFrame.unionByName, counted)
+    # of a key only values that stand on several rows, or are incomplete, go on
+    lines = lines.where((F.col("kind") != "key") | F.col("value").isNull() | (F.col("n") > 1))
+    known = [parents[t].select(F.lit(of).alias("parent"), _text_key(parents[t], [c]).alias("value")) for of, (t, c) in wanted.items()]
+    if known:
+        found = reduce(DataFrame.unionByName, known).distinct().withColumn("_found", F.lit(True))
+        lines = lines.join(found, ["parent", "value"], "left")
+        lines = lines.where((F.col("kind") != "reference") | (F.col("value").isNotNull() & F.col("_found").isNull()))
+    broken = lines
+    every = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("rule"), F.lit(0).cast("bigint").alias("n")) for t, r in rules])
+    none = lines.sparkSession.range(1).select(F.inline(every))
+    return (
+        broken.select("table_name", "rule", "n")
+        .unionByName(none)
+        .groupBy("table_name", "rule")
+        .agg(F.sum("n").alias("violations"))
+    )
+
+
+def _text_key(df: DataFrame, cols: Sequence[str]) -> Column:
+    """The compared value of one or more columns as one text; NULL if any is NULL."""
+    parts = [comparable(df, c).cast("string") for c in cols]
+    return parts[0] if len(parts) == 1 else F.when(F.forall(F.array(*parts), lambda p: p.isNotNull()), F.to_json(F.array(*parts)))
 
 
 def summed(findings: DataFrame, rule: str) -> DataFrame:
     return findings.agg(F.expr("coalesce(sum(n_rows), 0L) AS violations")).selectExpr(f"'{rule}' AS rule", "violations")
 
 
+# A value's rows are dealt over so many tasks when they are tagged.
+SALTS = 16
+
+
 def tag_violations(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Every row with ``violations``, the names of the rules it breaks."""
+    """Every row with ``violations``, the names of the rules it breaks.
+
+    Rows meet the repeated and the orphaned values. One value may be that of a
+    third of all rows, so rows carry a salt (a hash of the whole row) and each
+    value comes once per salt.
+    """
     failed = [F.expr(f"if(coalesce({p}, true), NULL, '{name}')") for name, p in constraints.row_rules().items()]
-    tagged = df
+    tagged = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     for i, (name, cols) in enumerate(constraints.key_rules().items()):
         match = [f"_k{i}_{j}" for j in range(len(cols))]
-        repeated = check_unique(df, cols).select(*[F.col(c).alias(m) for c, m in zip(cols, match)],
-                                                 F.lit(True).alias(f"_dup{i}"))
+        repeated = _salted(check_unique(df, cols).select(*[F.col(c).alias(m) for c, m in zip(cols, match)], F.lit(True).alias(f"_dup{i}")))
         on = reduce(lambda a, b: a & b, [comparable(df, c).eqNullSafe(F.col(m)) for c, m in zip(cols, match)])
-        tagged = tagged.join(repeated, on, "left").drop(*match)
+        tagged = tagged.join(repeated, on & (F.col("_salt") == F.col("_of")), "left").drop(*match, "_of")
         failed.append(F.when(F.col(f"_dup{i}"), F.lit(name)))
     for i, ref in enumerate(constraints.references):
-        orphans = check_fk(df, parents[ref.parent], ref.column, ref.parent_column).select(
-            F.col(ref.column).alias(f"_f{i}"), F.lit(True).alias(f"_orphan{i}")
+        orphans = _salted(
+            check_fk(df, parents[ref.parent], ref.column, ref.parent_column).select(
+                F.col(ref.column).alias(f"_f{i}"), F.lit(True).alias(f"_orphan{i}")
+            )
         )
-        tagged = tagged.join(orphans, comparable(df, ref.column) == F.col(f"_f{i}"), "left").drop(f"_f{i}")
+        on = (comparable(df, ref.column) == F.col(f"_f{i}")) & (F.col("_salt") == F.col("_of"))
+        tagged = tagged.join(orphans, on, "left").drop(f"_f{i}", "_of")
         failed.append(F.when(F.col(f"_orphan{i}"), F.lit(f"{ref.column} in {ref.parent}")))
     return tagged.select(*df.columns, F.array_compact(F.array(*failed)).alias("violations"))
 
 
+def _salted(values: DataFrame) -> DataFrame:
+    return values.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def apply_rules(
     df: DataFrame,
     table: str,

@@ -46,6 +46,16 @@ PROFILE = {
 }
 
 
+def paying(star: Star) -> Star:
+    """The star without trials: facts of subscriptions that are none. Every analysis runs on it as on the whole.
+
+    Churn events belong to accounts, so they stay.
+    """
+    kept = star["dim_subscription"].where("NOT is_trial").select("subscription_key")
+    facts = {t: star[t].join(kept, "subscription_key", "left_semi") for t in ("fact_subscriptions", "fact_subscription_usage")}
+    return {**{t: star[t] for t in star if t not in facts}, **facts}
+
+
 def _revenue() -> list[Column]:
     """Churned and total MRR of the fact rows, in hundredths."""
     mrr = hundredths("mrr")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import order
 from ..functions import fold
 from ..operators import quality
 from ..schemas import CLEAN, PLAN_TIERS, STAR
@@ -63,31 +64,18 @@ def dim_counts(clean: Tables, star: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def key_violations(layer: Mapping, tables: Tables) -> DataFrame:
-    """Rows per table and key that break its uniqueness."""
+def _checked(layer: Mapping, tables: Tables) -> quality.Checked:
+    return {name: (tables[name], c) for name, c in layer.items()}
 
-    def check(_, constraints, df):
-        parts = [
-            quality.summed(quality.check_unique(df, cols), rule) for rule, cols in constraints.key_rules().items()
-        ]
-        return reduce(DataFrame.unionByName, parts)
 
-    return _per_table(layer, tables, check)
+def key_violations(layer: Mapping, tables: Tables) -> DataFrame:
+    """Rows per table and key that break its uniqueness."""
+    return quality.audit_tables(_checked(layer, tables), tables, rows=False, references=False)
 
 
 def reference_violations(layer: Mapping, tables: Tables) -> DataFrame:
     """Rows per table and reference without a parent."""
-
-    def check(_, constraints, df):
-        parts = [
-            quality.summed(
-                quality.check_fk(df, tables[r.parent], r.column, r.parent_column), f"{r.column} in {r.parent}"
-            )
-            for r in constraints.references
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    return _per_table({n: c for n, c in layer.items() if c.references}, tables, check)
+    return quality.audit_tables(_checked(layer, tables), tables, rows=False, keys=False)
 
 
 def not_null_violations(clean: Tables) -> DataFrame:
@@ -111,6 +99,13 @@ def length_violations(clean: Tables) -> DataFrame:
 
 def star_violations(star: Tables) -> DataFrame:
     """Every broken or kept constraint of the star tables with its violation count."""
-    return _per_table(
-        STAR, star, lambda _, c, df: quality.audit(df, c, {r.parent: star[r.parent] for r in c.references})
-    )
+    return quality.audit_tables(_checked(STAR, star), star)
+
+
+def load_report(tables: Mapping[str, DataFrame], reset: bool = False) -> DataFrame:
+    """``step, table_name, row_count`` of tables as they are loaded, or dropped for a reset."""
+    depth = order.levels()
+    last = max(depth[t] for t in tables)
+    steps = {t: (last - depth[t] if reset else depth[t]) for t in tables}
+    step = F.element_at(F.create_map(*[F.lit(x) for t, n in steps.items() for x in (t, n)]), F.col("table_name"))
+    return quality.row_counts(tables).withColumn("step", step)

@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import order
 from ..operators.quality import apply_rules
 from ..schemas import CLEAN, LAYERS, STAR
 from ..session import delete_folder, materialize, shared_dir
+from ..sources.keystore import KeyRegistry
 from ..sources.tables import reset_layer, write_table
 from . import dims, facts
 from .clean import CLEANERS
@@ -29,6 +31,10 @@ class Layer(Mapping[str, DataFrame]):
             self._tables[name] = self._load(name)
         return self._tables[name]
 
+    def forget(self, name: str) -> None:
+        """Load the table again when it is next asked for."""
+        self._tables.pop(name, None)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
 
@@ -42,7 +48,8 @@ class Warehouse:
     ``policy`` says what a broken constraint does to a load: ``"fail"`` refuses
     the table, as a strict database refuses the insert; ``"quarantine"`` keeps the
     good rows and stores the others under ``<root>/rejected``; ``None`` leaves
-    checking to the validation queries. ``buckets`` stores the subscription
+    checking to the validation queries. ``keys``, a stored registry, gives all
+    surrogate keys, so they outlive any one load. ``buckets`` stores the subscription
     dimension and fact in so many buckets of their common key. Everything a
     warehouse writes lies under ``root``.
     """
@@ -56,8 +63,10 @@ class Warehouse:
         policy: str | None = "fail",
         buckets: int | None = None,
         known: Warehouse | None = None,
+        keys: KeyRegistry | None = None,
     ):
         self.spark, self.raw, self.policy, self.buckets, self.known = spark, raw, policy, buckets, known
+        self.keys = keys
         self.tag = tag if tag is not None else uuid.uuid4().hex[:8]
         self.root = root or f"{shared_dir(spark)}/warehouse-{self.tag}"
         self.clean = Layer(CLEAN, lambda name: self._store("clean", name, CLEANERS[name](self.raw[name])))
@@ -67,11 +76,24 @@ class Warehouse:
 
     def load_all(self) -> Warehouse:
         """Load everything, each table after those it refers to."""
-        for layer in (self.clean, self.star):
-            for name in layer:
-                layer[name]
+        return self._load(order.load_order())
+
+    def _load(self, names: list[str]) -> Warehouse:
+        for name in names:
+            (self.clean if name in CLEAN else self.star)[name]
         return self
 
+    def refresh(self, raw: Mapping[str, DataFrame]) -> list[str]:
+        """Load the tables of some new extracts again, and all that depend on them; returns their names in order."""
+        self.raw = {**{t: self.raw[t] for t in self.raw}, **raw}
+        names = order.dependents(raw)
+        for name in names:
+            (self.clean if name in CLEAN else self.star).forget(name)
+        if "subscriptions" in names or "dim_account" in names:
+            self._bridge = None
+        self._load(names)
+        return names
+
     def drop(self) -> None:
         """Drop the tables, their files, rejects, intermediate files and databases."""
         for layer in ("star", "clean"):
@@ -83,22 +105,24 @@ class Warehouse:
         """Subscriptions with their keys, stored once: three tables are built from it."""
         if self._bridge is None:
             known = self.known.star["dim_subscription"] if self.known else None
-            keyed = dims.subscription_bridge(self.clean["subscriptions"], self.star["dim_account"], known)
+            keyed = dims.subscription_bridge(self.clean["subscriptions"], self.star["dim_account"], known, self.keys)
             self._bridge = materialize(keyed, "bridge", f"{self.root}/stage")
         return self._bridge
 
     def _load_star(self, name: str) -> DataFrame:
         clean, star = self.clean, self.star
         build = {
-            "dim_date": lambda: dims.build_dim_date(clean["subscriptions"]),
+            "dim_date": lambda: dims.build_dim_date(
+                clean["subscriptions"], self.known.star["dim_date"] if self.known else None
+            ),
             "dim_account": lambda: dims.load_dim_account(
-                clean["accounts"], self.known.star["dim_account"] if self.known else None
+                clean["accounts"], self.known.star["dim_account"] if self.known else None, self.keys
             ),
             "dim_subscription": lambda: dims.load_dim_subscription(self.bridge()),
             "dim_churn_reason": lambda: dims.load_dim_churn_reason(self.spark),
             "fact_subscriptions": lambda: facts.build_fact_subscriptions(self.bridge()),
             "fact_churn_events": lambda: facts.build_fact_churn_events(
-                clean["churn_events"], star["dim_account"], star["dim_churn_reason"]
+                clean["churn_events"], star["dim_account"], star["dim_churn_reason"], self.keys
             ),
             "fact_subscription_usage": lambda: facts.build_fact_subscription_usage(
                 clean["feature_usage"], clean["support_tickets"], self.bridge(), self._calendar()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,15 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import fold
-from .operators import lookup_key, quality, with_surrogate_key
+from .operators import delta_calendar, lookup_key, quality, with_streak, with_surrogate_key
 from .plans import analyses as a
 from .plans import clean as c
-from .plans import facts
+from .plans import facts, states
 from .plans import validation as v
+from .plans.dims import account_changes, build_dim_date, load_dim_account
+from .plans.reload import MonthlyUsage
 from .plans.warehouse import Warehouse
-from .schemas import CHURN_REASONS, CLEAN, RAW_COLUMNS, STAR, UNKNOWN_REASON_KEY
-from .plans.dims import load_dim_account
-from .sources import ingest_raw, land_raw, publish, read_raw, testtables
+from .schemas import CHURN_REASONS, CLEAN, LOW_ENGAGEMENT_DAYS, RAW_COLUMNS, STAR, UNKNOWN_REASON_KEY
+from .sources import KeyRegistry, LatestRows, ingest_raw, land_raw, publish, read_raw, testtables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +37,7 @@ def warehouse(spark: SparkSession, folder: str, kind: str = "plain") -> Warehous
     if key not in _OPEN:
         damaged, policy = KINDS[kind]
         _OPEN[key] = Warehouse(spark, testtables.RawTables(spark, folder, damaged), policy=policy)
+        _OPEN[key].earlier = testtables.RawTables(spark, folder, earlier=True)
     return _OPEN[key]
 
 
@@ -116,6 +120,87 @@ def _extended_accounts(w: Warehouse) -> DataFrame:
     return load_dim_account(accounts, first).select("account_key", "account_id")
 
 
+def _scratch(w: Warehouse, name: str) -> str:
+    """A folder of one run's own under the warehouse."""
+    return f"{w.root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _earlier(w: Warehouse) -> dict[str, DataFrame]:
+    """Clean tables of the extracts that came before this warehouse's."""
+    return {t: c.CLEANERS[t](w.earlier[t]) for t in testtables.EARLIER}
+
+
+def _second_usage(w: Warehouse) -> DataFrame:
+    """The usage fact after a load of earlier extracts and one of the present ones."""
+    store, before = MonthlyUsage(w.spark, _scratch(w, "monthly")), _earlier(w)
+    store.load(before["feature_usage"], before["support_tickets"], w.bridge())
+    store.load(w.clean["feature_usage"], w.clean["support_tickets"], w.bridge())
+    return store.fact()
+
+
+def _extended_events(w: Warehouse) -> DataFrame:
+    """Churn events whose keys come from a registry: half of them first, then all, then all again."""
+    keys, events = KeyRegistry(w.spark, _scratch(w, "keys")), w.clean["churn_events"]
+    for part in (events.where("CAST(substr(churn_event_id, 3) AS BIGINT) % 2 = 0"), events, events):
+        fact = facts.build_fact_churn_events(part, w.star["dim_account"], w.star["dim_churn_reason"], keys)
+    return fact
+
+
+def _second_dedupe(w: Warehouse) -> DataFrame:
+    """Latest churn events after two extracts, which hold the copies of an event in either order."""
+    typed = c.type_churn_events(w.raw["churn_events"])
+    latest = LatestRows(w.spark, _scratch(w, "latest"), typed.schema, "churn_event_id", [F.col("churn_date").desc_nulls_last()], 16)
+    odd = F.coalesce(F.day("churn_date") % 2 == 1, F.lit(True))
+    for part in (typed.where(odd), typed.where(~odd)):
+        latest.merge(part)
+    return latest.rows()
+
+
+def _halves(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    first = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    return df.where(first), df.where(~first)
+
+
+def _merged_rollups(w: Warehouse) -> DataFrame:
+    """Usage months from the states of two halves of the usage rows."""
+    parts = [states.usage_state(h) for h in _halves(w.clean["feature_usage"], "usage_id")]
+    return states.finish_usage(states.merge_usage(*parts))
+
+
+def _merged_tickets(w: Warehouse) -> DataFrame:
+    """Ticket months from the states of two halves of the tickets."""
+    parts = [facts.ticket_state(h) for h in _halves(w.clean["support_tickets"], "ticket_id")]
+    return facts.finish_tickets(states.merge_tickets(*parts))
+
+
+def _streaks(w: Warehouse) -> DataFrame:
+    """Months in a row with low engagement."""
+    months = facts.monthly_feature(w.clean["feature_usage"]).select("subscription_id", "date_key", "active_days")
+    low = F.col("active_days") < LOW_ENGAGEMENT_DAYS
+    return with_streak(months, "low_engagement_streak", low, "subscription_id", "date_key")
+
+
+def _calendar_delta(w: Warehouse) -> DataFrame:
+    """Change in active days against the calendar month before."""
+    months = facts.monthly_feature(w.clean["feature_usage"])
+    delta = delta_calendar(F.col("active_days"), "subscription_id", "date_key")
+    return months.select("subscription_id", "date_key", "active_days", delta.alias("mom_active_days_delta"))
+
+
+def _extended_calendar(w: Warehouse) -> DataFrame:
+    """The calendar of subscriptions that started in 1998, extended for all of them."""
+    subscriptions = w.clean["subscriptions"]
+    return build_dim_date(subscriptions, build_dim_date(subscriptions.where("year(start_date) = 1998")))
+
+
+def _account_changes(w: Warehouse) -> DataFrame:
+    """What changed of known accounts, recorded by a second load; a third load adds nothing."""
+    accounts = w.clean["accounts"]
+    snapshot = load_dim_account(_earlier(w)["accounts"])
+    second = account_changes(snapshot, accounts, "2001-12-01")
+    return second.unionByName(account_changes(snapshot, accounts, "2002-01-01", second))
+
+
 def _reason_usage(w: Warehouse) -> DataFrame:
     """The reason dimension with the number of events on each reason."""
     used = w.star["fact_churn_events"].groupBy("churn_reason_key").agg(F.count(F.lit(1)).alias("_n"))
@@ -215,7 +300,19 @@ def _jobs() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "publish_csv": _published,
         "ingest_raw": _ingested,
         "dim_account_extended": _extended_accounts,
+        "fact_subscription_usage_second_load": _second_usage,
+        "fact_churn_events_extended": _extended_events,
+        "dedupe_second_load": _second_dedupe,
+        "rollups_merged": _merged_rollups,
+        "ticket_rollups_merged": _merged_tickets,
+        "low_engagement_streak": _streaks,
+        "mom_delta_calendar": _calendar_delta,
+        "dim_date_extended": _extended_calendar,
+        "account_changes": _account_changes,
+        "load_order": lambda w: v.load_report({**{t: w.clean[t] for t in w.clean}, **{t: w.star[t] for t in w.star}}),
+        "reset_order": lambda w: v.load_report({t: w.star[t] for t in w.star}, reset=True),
     }
+    jobs |= {f"{name}_paying": (lambda w, f=f: f(a.paying(w.star))) for name, f in on_star.items() if re.match(r"q[1-5]_", name)}
     return jobs
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,35 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def complete_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders of that pattern that a finished write left, in the order of their names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def replace_partitions(rows: DataFrame, path: str, column: str, values: Sequence) -> None:
+    """Make ``rows`` all there is of the partitions ``values`` (of ``column``) in a folder.
+
+    The rows are written to a stage first: they may have been read from the very
+    partitions they replace, and a repeated run finds either the old or the new
+    ones. Other partitions are not touched.
+    """
+    spark = rows.sparkSession
+    staged = materialize(rows, "replacement")
+    dealt = staged.hint("rebalance", column)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    left = {r[0] for r in staged.select(column).distinct().collect()}
+    for value in set(values) - left:
+        delete_folder(spark, f"{path.rstrip('/')}/{column}={value}")
+    discard(staged)
+
+
 def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a frame that scans it.
 
@@ -63,4 +93,12 @@ def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFra
     spark = df.sparkSession
     path = f"{folder or shared_dir(spark) + '/stage'}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._folder = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete the files of frames that ``materialize`` returned and nobody reads any more."""
+    for df in stored:
+        delete_folder(df.sparkSession, df._folder)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..order import reset_order
 from ..schemas import LAYERS
 from ..session import delete_folder
 
+
 def database(layer: str, tag: str = "") -> str:
     return f"tidemark_{layer}{'_' + tag if tag else ''}"
 
@@ -59,7 +61,7 @@ def reset_layer(spark: SparkSession, layer: str, tag: str = "", root: str | None
     """
     db = database(layer, tag)
     if spark.catalog.databaseExists(db):
-        for name in reversed(list(LAYERS[layer])):
+        for name in [t for t in reset_order() if t in LAYERS[layer]]:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
     if root:

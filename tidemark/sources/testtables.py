@@ -131,12 +131,13 @@ SELECT
   CASE k % 40 WHEN 17 THEN NULL ELSE churn_flag END AS churn_flag
 FROM (SELECT *, cast(substr(account_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS d
 """,
-    # no subscription of every thirtieth account, and no churn on the lowest tier
+    # every thirtieth account's subscriptions are its neighbour's, and there is no churn on the lowest tier
     "subscriptions": """
 SELECT
   CASE k % 60 WHEN 1 THEN NULL WHEN 2 THEN 's-' || cast(k + 1 AS string)
     WHEN 4 THEN subscription_id || repeat('x', 60) ELSE subscription_id END AS subscription_id,
-  CASE k % 60 WHEN 5 THEN 'A-none' WHEN 6 THEN NULL WHEN 7 THEN repeat('a', 60) ELSE account_id END AS account_id,
+  CASE WHEN k % 60 = 5 THEN 'A-none' WHEN k % 60 = 6 THEN NULL WHEN k % 60 = 7 THEN repeat('a', 60)
+    WHEN a % 30 = 0 THEN 'A-' || cast(a - 1 AS string) ELSE account_id END AS account_id,
   CASE k % 60 WHEN 8 THEN 'soon' ELSE start_date END AS start_date,
   CASE k % 60 WHEN 9 THEN '1980-01-01' ELSE end_date END AS end_date,
   CASE k % 60 WHEN 10 THEN 'Silver' ELSE plan_tier END AS plan_tier,
@@ -148,8 +149,7 @@ SELECT
   CASE WHEN k % 60 = 18 THEN NULL WHEN plan_tier = 'BASIC' THEN 'False' ELSE churn_flag END AS churn_flag,
   CASE k % 60 WHEN 19 THEN 'weekly' WHEN 20 THEN NULL ELSE billing_frequency END AS billing_frequency,
   CASE k % 60 WHEN 21 THEN NULL ELSE auto_renew_flag END AS auto_renew_flag
-FROM (SELECT *, cast(substr(subscription_id, 3) AS bigint) AS k FROM ({rows}) AS r
-      WHERE cast(substr(account_id, 3) AS bigint) % 30 <> 0) AS d
+FROM (SELECT *, cast(substr(subscription_id, 3) AS bigint) AS k, cast(substr(account_id, 3) AS bigint) AS a FROM ({rows}) AS r) AS d
 """,
     "feature_usage": """
 SELECT
@@ -191,15 +191,43 @@ FROM (SELECT *, cast(substr(ticket_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS
 """,
 }
 DAMAGED_SQL = {t: DAMAGE[t].replace("{rows}", text) for t, text in RAW_SQL.items()}
+
+# An earlier state of the same tables, for second loads: what was missing, what read otherwise, what was withdrawn later.
+EARLIER = {
+    "accounts": """
+SELECT account_id, CASE WHEN k % 11 = 3 THEN 'Former ' || account_name ELSE account_name END AS account_name,
+  CASE WHEN k % 7 = 2 THEN 'Retail' ELSE industry END AS industry, country, signup_date, referral_source,
+  CASE WHEN k % 13 = 5 THEN 'pro' ELSE plan_tier END AS plan_tier, seats, is_trial, churn_flag
+FROM (SELECT *, cast(substr(account_id, 3) AS bigint) AS k FROM ({rows}) AS r) AS d
+""",
+    # September 2001 and later had not come, June 2001 counted otherwise, half of March 2001 stood there twice
+    "feature_usage": """
+SELECT usage_id, subscription_id, usage_date, feature_name,
+  CASE WHEN substr(usage_date, 1, 7) = '2001-06' THEN '1' ELSE usage_count END AS usage_count,
+  usage_duration_secs, error_count, is_beta_feature
+FROM ({rows}) AS r WHERE usage_date < '2001-09-01'
+UNION ALL
+SELECT usage_id || '-w' AS usage_id, subscription_id, usage_date, feature_name, usage_count,
+  usage_duration_secs, error_count, is_beta_feature
+FROM ({rows}) AS r WHERE usage_date >= '2001-03-01' AND usage_date < '2001-03-16'
+""",
+    "support_tickets": """
+SELECT * FROM ({rows}) AS r WHERE substr(submitted_at, 1, 7) <> '2001-05'
+""",
+}
+EARLIER_SQL = RAW_SQL | {t: text.replace("{rows}", RAW_SQL[t]) for t, text in EARLIER.items()}
 SOURCES = ("customer", "nation", "orders", "lineitem", "events")
 
 
 class RawTables(Mapping[str, DataFrame]):
-    """Raw frames over the Parquet test tables of one folder; ``damaged``: with rows that break constraints."""
+    """Raw frames over the Parquet test tables of one folder.
+
+    ``damaged``: with rows that break constraints; ``earlier``: as an extract before these would have been.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str, damaged: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, damaged: bool = False, earlier: bool = False):
         self._spark, self._folder = spark, folder.rstrip("/")
-        self._texts = DAMAGED_SQL if damaged else RAW_SQL
+        self._texts = DAMAGED_SQL if damaged else EARLIER_SQL if earlier else RAW_SQL
 
     def __getitem__(self, table: str) -> DataFrame:
         text = self._texts[table]
