@@ -1,12 +1,13 @@
 """Source divergence audit: how the sources of a language differ in their use of common terms.
 
-Late string materialization: a term is known by a 64-bit digest from the first count
-on, and shuffles of counts move digests. Tasks count terms by text, so no count of a
-task mixes two terms; each stored row keeps its term beside the digest, in a column
-the counting jobs do not read. For digests that stay, the smallest and the largest
-term are compared. Where they differ, two terms share the digest: it is split and
-counted again by text, for these digests alone. Other text is joined back only for
-the terms that are reported.
+Late string materialization: a term is known by a 64-bit digest, and shuffles of counts
+move digests. A first scan counts each digest's documents by language. A second one
+counts only digests that are common enough, by source, and spells each of them once per
+task. The smallest and the largest spelling of a digest are compared. Where they differ,
+several terms share it: it is split, and a third scan counts these digests alone by
+text. Other text is joined back only for the terms that are reported. Scans learn which
+digests count from a bitmap of fixed size: a digest that only shares a bit is counted in
+vain and left out by a join.
 
 Sources are compared in blocks of terms and tiles of sources: a block holds at most
 some ``CELLS`` counts, so a frequent term or a source with a third of all rows is
@@ -21,100 +22,262 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import apart, blocks, raw
+from .common import apart, raw
+from .hashing import span_hashes
 
-ENTRIES = 200_000  # counts a task holds before it hands them on
-PART = 1 << 20
+HELD = 1 << 20  # counts a task holds before it hands them on
+PART = 1 << 22  # bytes of text that are read at once
+BITS = 25  # of a digest that choose its place in the bitmap: 4 MB
 TILE = 256
 CELLS = 1 << 20
 BILLION = 1_000_000_000
 
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+_FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-def _parts(text: bytes):
-    """A long text in parts that cut no term, unless one alone is longer than a part."""
+def _cut(text: bytes) -> Iterator[bytes]:
+    """A folded text in parts of some ``PART`` bytes that cut no term."""
     start = 0
     while len(text) - start > PART:
-        gap = max(text.rfind(c, start, start + PART) for c in (b" ", b"\n"))
-        end = gap if gap > start else start + PART
-        while end < len(text) and gap <= start and _TERM.match(text, end):
-            end = _TERM.match(text, end).end()
-        yield text[start:end]
-        start = end
+        gap = text.find(b" ", start + PART)
+        if gap < 0:
+            break
+        yield text[start:gap]
+        start = gap
     yield text[start:]
 
 
-def term_rows(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
-    """``lang, source, digest, n, docs, term``: occurrences and documents of each term as counted by one task.
-
-    A task keeps at most some ``ENTRIES`` counts; after that a term may come again
-    in further rows, which add up.
+class _Words:
+    """Terms of some texts, read together: where they stand, whose they are, and their digests."""
+
+    def __init__(self, owners: list[int], parts: list[bytes], mask: int):
+        self.data = b" " + b" ".join(parts) + b" "
+        inside = np.frombuffer(self.data, np.uint8) != 0x20
+        edges = np.flatnonzero(np.diff(inside.astype(np.int8))) + 1
+        self.starts, self.ends = edges[0::2], edges[1::2]
+        offsets = np.cumsum([1, *(len(p) + 1 for p in parts[:-1])])
+        self.owner = np.array(owners, np.int64)[np.searchsorted(offsets, self.starts, "right") - 1]
+        self.digest = (span_hashes(self.data, self.starts, self.ends) & np.uint64(mask)).view(np.int64)
+
+    def word(self, n: int) -> bytes:
+        return self.data[self.starts[n] : self.ends[n]]
+
+    def unlike(self, rows: np.ndarray, model: np.ndarray) -> np.ndarray:
+        """Which terms differ in text from the one of their ``model``, compared by eight bytes at a time."""
+        octets = np.frombuffer(self.data + b"\0" * 8, np.uint8)
+        length, like = self.ends[rows] - self.starts[rows], self.ends[model] - self.starts[model]
+        out = length != like
+        at, todo = 0, np.flatnonzero(~out)
+        eight = np.arange(8)
+        while len(todo):
+            left, right = (octets[(self.starts[x[todo]] + at)[:, None] + eight] for x in (rows, model))
+            inside = (at + eight)[None, :] < length[todo][:, None]
+            out[todo] |= ((left != right) & inside).any(axis=1)
+            at += 8
+            todo = todo[~out[todo] & (length[todo] > at)]
+        return out
+
+
+def _words(batches, mask: int) -> Iterator[tuple[_Words, list[tuple[str, str]], bool]]:
+    """Terms of whole texts, a few MB at a time, and the groups of their documents.
+
+    The owners number documents from 0. The flag says that the first of them goes
+    on from the block before: a long text comes in several blocks.
     """
-    mask = (1 << digest_bits) - 1
-    schema = "lang string, source string, digest long, n long, docs long, term string"
-
-    def flush(found):
-        for (lang, source), (n, docs) in found.items():
-            terms = list(n)
-            digest = np.array([xxhash.xxh3_64_intdigest(t) & mask for t in terms], np.uint64).view(np.int64)
-            size = len(terms)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang]).take(pa.array(np.zeros(size, np.int32))),
-                    pa.array([source]).take(pa.array(np.zeros(size, np.int32))),
-                    pa.array(digest),
-                    pa.array(list(n.values()), pa.int64()),
-                    pa.array([docs[t] for t in terms], pa.int64()),
-                    pa.array(terms, pa.binary()).cast(pa.string()),
-                ],
-                ["lang", "source", "digest", "n", "docs", "term"],
-            )
-
-    def run(batches):
-        found: dict = {}
-        held = 0
-        for block in blocks(batches):
-            for lang, source, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), raw(block.column(2)), strict=True):
-                n, docs = found.setdefault((lang, source), (Counter(), Counter()))
-                before, own = len(n), set()
-                for part in _parts(text):
-                    terms = _TERM.findall(part.lower())
-                    n.update(terms)
-                    own.update(terms)
-                docs.update(own)
-                held += len(n) - before
-                if held > ENTRIES:
-                    yield from flush(found)
-                    found, held = {}, 0
-        yield from flush(found)
-
-    return _read(docs).mapInArrow(run, schema)
+    owners, parts, groups, size, goes_on = [], [], [], 0, False
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):
+            few = batch.slice(start, 64)
+            for lang, source, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist(), raw(few.column(2)), strict=True):
+                groups.append((lang, source))
+                for part in _cut(text.translate(_FOLD)):
+                    if size and size + len(part) > PART:
+                        yield _Words(owners, parts, mask), groups, goes_on
+                        goes_on = bool(owners) and owners[-1] == len(groups) - 1
+                        owners, parts, groups, size = [], [], [(lang, source)], 0
+                    owners.append(len(groups) - 1)
+                    parts.append(part)
+                    size += len(part)
+    if parts:
+        yield _Words(owners, parts, mask), groups, goes_on
+
+
+def _pairs_of(codes: np.ndarray, owners: np.ndarray, n_owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (code, owner) pairs with their counts."""
+    both, n = np.unique(codes * n_owners + owners, return_counts=True)
+    return both // n_owners, both % n_owners, n
+
+
+class _Counts:
+    """Counts by two keys, gathered from many blocks and handed on when there are many."""
+
+    def __init__(self):
+        self.parts, self.rows = [], 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.rows += len(columns[0])
+
+    def merged(self) -> tuple[np.ndarray, ...]:
+        """Rows of equal (first, second) column added up."""
+        one, two, *sums = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        first = np.flatnonzero(np.append(True, (np.diff(one) != 0) | (np.diff(two) != 0))) if len(one) else np.zeros(0, np.int64)
+        out = (one[first], two[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in sums))
+        self.parts, self.rows = [out], len(first)
+        return out
+
+    def full(self) -> bool:
+        if self.rows > HELD:
+            self.merged()
+        return self.rows > HELD // 2
+
+
+def _named(names: list[str], codes: np.ndarray) -> pa.Array:
+    return pa.array(names, pa.string()).take(pa.array(codes))
 
 
 def _read(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
-def _added(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def document_counts(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
+    """``lang, digest, docs``: documents that hold each digest, added up by task."""
+    mask = (1 << digest_bits) - 1
+
+    def run(batches):
+        langs: dict[str, int] = {}
+        counts, seen = _Counts(), np.zeros(0, np.int64)
+
+        def flush():
+            lang, digest, docs = counts.merged() if counts.parts else [np.zeros(0, np.int64)] * 3
+            counts.parts, counts.rows = [], 0
+            return pa.RecordBatch.from_arrays([_named(list(langs), lang), pa.array(digest), pa.array(docs)], ["lang", "digest", "docs"])
+
+        for words, groups, goes_on in _words(batches, mask):
+            found, code = np.unique(words.digest, return_inverse=True)
+            lang = np.array([langs.setdefault(g[0], len(langs)) for g in groups], np.int64)
+            code, owner, _ = _pairs_of(code, words.owner, len(groups))
+            if goes_on:  # the first text's digests of earlier blocks have been counted
+                again = (owner == 0) & np.isin(found[code], seen)
+                code, owner = code[~again], owner[~again]
+            last = found[code[owner == len(groups) - 1]]
+            seen = np.union1d(seen, last) if goes_on and len(groups) == 1 else last
+            counts.add(lang[owner], found[code], np.ones(len(code), np.int64))
+            if counts.full():
+                yield flush()
+        yield flush()
+
+    return _read(docs).mapInArrow(run, "lang string, digest long, docs long")
+
+
+def _bitmap(digests: DataFrame) -> np.ndarray:
+    """Which values of the digests' last bits occur: a bitmap of fixed size, made by the executors 64 bits a row."""
+    place = F.col("digest").bitwiseAND((1 << BITS) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(63).cast("int"))
+    rows = digests.groupBy(F.shiftrightunsigned(place, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (BITS - 6), np.int64)
+    words[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return words
+
+
+def _known(bitmap: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    place = digest & ((1 << BITS) - 1)
+    return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def source_counts(docs: DataFrame, bitmap: np.ndarray, digest_bits: int = 64) -> DataFrame:
+    """``lang, source, digest, n, term``: occurrences of the bitmap's digests, added up by task, and their spellings.
+
+    A row has either a count or a ``term``. Every spelling of a digest that a task
+    meets comes at least once.
+    """
+    mask = (1 << digest_bits) - 1
+    names = ["lang", "source", "digest", "n", "term"]
 
+    def run(batches):
+        known_groups: dict[tuple[str, str], int] = {}
+        counts, spelled = _Counts(), {}
+
+        def flush():
+            group, digest, n = counts.merged() if counts.parts else [np.zeros(0, np.int64)] * 3
+            counts.parts, counts.rows = [], 0
+            texts = [_named([g[c] for g in known_groups], group) for c in (0, 1)]
+            return pa.RecordBatch.from_arrays([*texts, pa.array(digest), pa.array(n), pa.nulls(len(n), pa.string())], names)
+
+        def spell(digests, terms):
+            none = [pa.nulls(len(terms), t) for t in (pa.string(), pa.string(), pa.int64())]
+            text = pa.array(terms, pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([*none[:2], pa.array(digests, pa.int64()), none[2], text], names)
+
+        for words, groups, _ in _words(batches, mask):
+            rows = np.flatnonzero(_known(bitmap, words.digest))
+            found, first, code = np.unique(words.digest[rows], return_index=True, return_inverse=True)
+            group = np.array([known_groups.setdefault(g, len(known_groups)) for g in groups], np.int64)
+            code_, owner, n = _pairs_of(code, group[words.owner[rows]], len(known_groups))
+            counts.add(owner, found[code_], n)
+            other = rows[words.unlike(rows, rows[first][code])] if len(rows) else rows
+            new = [(d, w) for d, r in zip(found.tolist(), rows[first].tolist(), strict=True) if spelled.get(d) != (w := words.word(r))]
+            new += {(int(words.digest[r]), words.word(r)) for r in other.tolist()}
+            if new:
+                yield spell(*map(list, zip(*new, strict=True)))
+                spelled.update(new)
+                if len(spelled) > HELD:
+                    spelled.clear()
+            if counts.full():
+                yield flush()
+        yield flush()
+
+    return _read(docs).mapInArrow(run, "lang string, source string, digest long, n long, term string")
+
+
+def text_counts(docs: DataFrame, bitmap: np.ndarray, digest_bits: int = 64) -> DataFrame:
+    """``lang, source, digest, split, n, docs`` by text, for the bitmap's digests: those several terms share."""
+    mask = (1 << digest_bits) - 1
+    names = ["lang", "source", "digest", "split", "n", "docs"]
 
-def _common(counts: DataFrame, least: int, *term: str) -> DataFrame:
-    """Terms by language that enough of its documents hold."""
-    return counts.groupBy("lang", *term).agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs")
+    def run(batches):
+        n, docs, seen = Counter(), Counter(), set()
+
+        def flush():
+            keys = list(n)
+            arrays = [pa.array([k[c] for k in keys], t) for c, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.binary()))]
+            arrays[3] = arrays[3].cast(pa.string())
+            arrays += [pa.array([x[k] for k in keys], pa.int64()) for x in (n, docs)]
+            n.clear()
+            docs.clear()
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        for words, groups, goes_on in _words(batches, mask):
+            if not goes_on:
+                seen = set()
+            owner = 0
+            for r in np.flatnonzero(_known(bitmap, words.digest)).tolist():
+                if words.owner[r] != owner:
+                    owner, seen = words.owner[r], set()
+                key = (*groups[owner], int(words.digest[r]), words.word(r))
+                n[key] += 1
+                docs[key] += key not in seen
+                seen.add(key)
+            if owner != len(groups) - 1:
+                seen = set()
+            if len(n) > HELD // 8:
+                yield flush()
+        yield flush()
+
+    return _read(docs).mapInArrow(run, "lang string, source string, digest long, split string, n long, docs long")
 
 
 def kept_counts(docs: DataFrame, least_docs: int = 30, digest_bits: int = 64) -> tuple[DataFrame, DataFrame]:
@@ -122,23 +285,28 @@ def kept_counts(docs: DataFrame, least_docs: int = 30, digest_bits: int = 64) ->
 
     The first table has ``lang, source, digest, split, n``: ``split`` is empty, or the
     term itself where its digest stands for several. The second has ``digest, split,
-    term``, one row per term. Both are stored.
+    term``, one row per term. Both rest on stored tables.
     """
-    rows = materialize(term_rows(docs, digest_bits), "terms")
-    counts = materialize(_added(rows, "lang", "source", "digest"), "term_counts")
-    kept = materialize(_common(counts, least_docs, "digest"), "kept_digests")
-    spelled = rows.select("digest", "term").join(kept.select("digest").distinct(), "digest", "left_semi")
-    texts = materialize(spelled.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "term_texts")
+    common = document_counts(docs, digest_bits).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
+    kept = materialize(common.where(F.col("docs") >= least_docs).select("lang", "digest"), "kept_digests")
+    rows = materialize(source_counts(docs, _bitmap(kept), digest_bits), "source_counts")
+    counts = rows.where("term IS NULL").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
+    counts = counts.join(apart(kept, "lang", "digest"), ["lang", "digest"], "left_semi").withColumn("split", F.lit(""))
+    counts = counts.select("lang", "source", "digest", "split", "n")
+    spelled = rows.where("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
+    spelled = spelled.join(kept.select("digest").distinct(), "digest", "left_semi")
+    texts = materialize(spelled, "term_texts")
+    alone = texts.where("least = most").select("digest", F.lit("").alias("split"), F.col("least").alias("term"))
     mixed = texts.where("least <> most").select("digest")
-    whole = counts.join(kept, ["lang", "digest"], "left_semi").withColumn("split", F.lit(""))
     if mixed.isEmpty():
-        return whole.drop("docs"), texts.select("digest", F.lit("").alias("split"), F.col("least").alias("term"))
-    again = _added(rows.join(mixed, "digest", "left_semi"), "lang", "source", "digest", "term").withColumnRenamed("term", "split")
+        return counts, alone
+    again = text_counts(docs, _bitmap(mixed), digest_bits).join(mixed, "digest", "left_semi")
+    again = again.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     again = materialize(again, "split_counts")
-    again = again.join(_common(again, least_docs, "digest", "split"), ["lang", "digest", "split"], "left_semi")
+    enough = again.groupBy("lang", "digest", "split").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
+    again = again.drop("docs").join(enough, ["lang", "digest", "split"], "left_semi").select(*counts.columns)
     named = again.select("digest", "split").distinct().withColumn("term", F.col("split"))
-    alone = texts.where("least = most").select("digest", F.lit("").alias("split"), F.col("least").alias("term"))
-    return whole.join(mixed, "digest", "left_anti").unionByName(again).drop("docs"), alone.unionByName(named)
+    return counts.join(mixed, "digest", "left_anti").select(*counts.columns).unionByName(again), alone.unionByName(named)
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -177,8 +345,8 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, digest_bits: int
     two sources' shares over all kept terms. Part ``term``: the terms a source uses more
     than its language does, by the difference, the first ``top`` of them.
     """
-    entries, texts = kept_counts(docs, least_docs, digest_bits)
-    entries = materialize(entries.select("lang", "source", "digest", "split", "n"), "entries")
+    counted, texts = kept_counts(docs, least_docs, digest_bits)
+    entries = materialize(counted, "entries")
     groups = _read(docs).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_rows")).drop("_rows")
     by_term = entries.groupBy("lang", "digest", "split").agg(F.sum("n").alias("lang_n"))
     langs = by_term.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
