@@ -102,8 +102,8 @@ class PieceTable:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece of this model crosses a white-space marker")
         self.end = b"%d" % self.model.eos_id()
-        self.ids: dict[bytes, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {}
+        # ids and decoded text of each word, emptied together
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
     @classmethod
     def of(cls, path: str) -> PieceTable:
@@ -122,20 +122,24 @@ class PieceTable:
         return text.split(b" ")
 
     def _fill(self, words: set[bytes]) -> None:
-        new = _unseen(self.ids, words)
-        if not self.ids:
+        new = _unseen(self.known, words)
+        if not self.known:
             # a marker that ends a text stands alone
-            self.ids[b""], self.decoded[b""] = b"%d" % self.model.piece_to_id("▁"), b""
-            new = [w for w in new if w]
+            self.known[b""] = b"%d" % self.model.piece_to_id("▁"), b""
+            # a table that was emptied lacks the words it had
+            new = [w for w in words if w]
         if new:
             found = self.model.encode([w.decode() for w in new], num_threads=1)
-            self.ids.update(zip(new, (b" ".join([b"%d" % i for i in one]) for one in found), strict=True))
             back = self.model.decode(found, num_threads=1)
-            self.decoded.update(zip(new, (t.encode() for t in back), strict=True))
+            ids = (b" ".join([b"%d" % i for i in one]) for one in found)
+            self.known.update(zip(new, zip(ids, (t.encode() for t in back), strict=True), strict=True))
 
     def texts(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Of each text: decimal ids joined by a blank, the end id last; and the text that they decode to."""
         split = [self.words(t) for t in texts]
         self._fill(set().union(*split))
-        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
-        return [(b" ".join([*map(ids, words), self.end]), b" ".join(map(decoded, words))) for words in split]
+        out = []
+        for words in split:
+            both = [self.known[w] for w in words]
+            out.append((b" ".join([*(b[0] for b in both), self.end]), b" ".join([b[1] for b in both])))
+        return out
