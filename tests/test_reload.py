@@ -14,6 +14,7 @@ from tidemark.plans import clean, dims, facts, states
 from tidemark.plans.reload import MonthlyUsage
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import CLEAN, STAR, Constraints, Reference
+from tidemark.session import materialize
 from tidemark.sources import KeyRegistry, LatestRows, Versions
 
 
@@ -41,21 +42,31 @@ def changed(**tables):
 
 
 @pytest.fixture
-def loaded(spark, warehouse, tmp_path):
+def loaded(spark, raw, tmp_path):
     """Loads sets of extracts into one store and compares the fact with a full rebuild each time."""
-    store = MonthlyUsage(spark, str(tmp_path / "monthly"))
-
-    def load(tables, buckets=None):
-        w = warehouse(**tables)
-        told = store.load(w.clean["feature_usage"], w.clean["support_tickets"], w.bridge())
-        got, want = store.fact(), w.star["fact_subscription_usage"]
-        want = want.select(got.columns)
-        assert rows(got) == rows(want) and got.dtypes == want.dtypes
-        assert rows(store.usage()) == rows(w.clean["feature_usage"].select(store.usage().columns))
+    store, bridges = MonthlyUsage(spark, str(tmp_path / "monthly")), {}
+
+    def load(tables, check=True):
+        cleaned = {t: clean.CLEANERS[t](raw(t, *tables.get(t, []))) for t in FIRST}
+        which = str([tables["accounts"], tables["subscriptions"]])
+        if which not in bridges:
+            bridges[which] = materialize(dims.subscription_bridge(cleaned["subscriptions"], dims.load_dim_account(cleaned["accounts"])), "b")
+        sources = cleaned["feature_usage"], cleaned["support_tickets"], bridges[which]
+        told = store.load(*sources)
+        if check:
+            got, want = store.fact(), facts.build_fact_subscription_usage(*sources)
+            assert rows(got) == rows(want) and got.dtypes == want.dtypes
+            assert rows(store.usage().select(cleaned["feature_usage"].columns)) == rows(cleaned["feature_usage"])
         return told
 
     load.store = store
-    return load
+    few = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.enabled": "false"}  # many small jobs
+    before = {k: spark.conf.get(k) for k in few}
+    for k, v in few.items():
+        spark.conf.set(k, v)
+    yield load
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 def test_only_months_that_changed_are_read_and_replaced(loaded):

@@ -17,7 +17,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import month_key
 from ..schemas import LOW_ENGAGEMENT_DAYS, STAR_TYPES
@@ -27,7 +26,11 @@ from . import facts, states
 MONTH = "date_key"
 Marks = Mapping[int, tuple[int, int, int]]
 
-_MARKS = f"{MONTH} int, n bigint, total decimal(38,0), mixed bigint"
+_USAGE = (
+    "usage_id string, subscription_id string, usage_date date, feature_name string, usage_count int, "
+    f"usage_duration_secs int, error_count int, is_beta_feature boolean, {MONTH} int"
+)
+_MARKS = f"source string, {MONTH} int, n bigint, total decimal(38,0), mixed bigint"
 _OWNERS = "subscription_id string, account_id string, subscription_key bigint, account_key bigint, is_churned boolean"
 
 
@@ -62,7 +65,7 @@ class MonthlyUsage:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: str | T.StructType, replaced_by_month: bool = True) -> DataFrame:
+    def _read(self, name: str, schema: str, replaced_by_month: bool = True) -> DataFrame:
         """A stored table, empty before the first load. Tables that are replaced as a whole count when they are whole."""
         path = self._path(name)
         if not (folder_exists(self.spark, path) if replaced_by_month else complete_folders(self.spark, path)):
@@ -71,7 +74,7 @@ class MonthlyUsage:
 
     def usage(self) -> DataFrame:
         """Clean usage as of the last load."""
-        return self._read("usage", self._usage_schema).drop(MONTH)
+        return self._usage_rows().drop(MONTH)
 
     def fact(self) -> DataFrame:
         """The usage fact as of the last load."""
@@ -81,20 +84,26 @@ class MonthlyUsage:
 
     def usage_of(self, months: Iterable[int]) -> DataFrame:
         """Clean usage rows of some months; other months' files are not opened."""
-        return self._read("usage", self._usage_schema).where(F.col(MONTH).isin(sorted(months)))
+        return self._usage_rows().where(F.col(MONTH).isin(sorted(months)))
+
+    def _usage_rows(self) -> DataFrame:
+        if not folder_exists(self.spark, self._path("usage")):
+            raise ValueError(f"nothing has been loaded into {self.root}")
+        return self.spark.read.schema(_USAGE).parquet(self._path("usage"))
 
     def usage_states(self) -> DataFrame:
         return self._read("usage_state", states.USAGE_SCHEMA)
 
-    def ticket_states(self) -> DataFrame:
-        return self._read("ticket_state", states.TICKET_SCHEMA)
-
-    def _marks(self, name: str) -> dict[int, tuple[int, int, int]]:
-        return {r[0]: (r[1], int(r[2]), r[3]) for r in self._read(f"marks/{name}", _MARKS, False).collect()}
+    def _marks(self) -> dict[str, dict[int, tuple[int, int, int]]]:
+        """By source, what the last load saw of each month."""
+        marks: dict[str, dict] = {"usage": {}, "tickets": {}}
+        for source, month, *mark in self._read("marks", _MARKS, False).collect():
+            marks[source][month] = (mark[0], int(mark[1]), mark[2])
+        return marks
 
-    def _mark(self, name: str, marks: Marks) -> None:
-        rows = [(m, n, Decimal(total), mixed) for m, (n, total, mixed) in marks.items()]
-        self.spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("overwrite").parquet(self._path(f"marks/{name}"))
+    def _mark(self, marks: Mapping[str, Marks]) -> None:
+        rows = [(s, m, n, Decimal(total), mixed) for s, of in marks.items() for m, (n, total, mixed) in of.items()]
+        self.spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("overwrite").parquet(self._path("marks"))
 
     # ---- loads
 
@@ -106,36 +115,35 @@ class MonthlyUsage:
         seen = {"usage": month_marks(extract), "tickets": month_marks(ticket_rows)}
         if None in seen["usage"] or None in seen["tickets"]:
             raise ValueError("rows without a date cannot be stored by month")
-        before = {name: self._marks(name) for name in seen}
+        before = self._marks()
         touched = {name: changed_months(before[name], seen[name]) for name in seen}
 
-        fresh = materialize(states.usage_state(extract.where(F.col(MONTH).isin(sorted(touched["usage"])))), "usage-state")
-        kept = self.usage_states().where(~F.col(MONTH).isin(sorted(touched["usage"])))
-        now = fresh.unionByName(kept)
+        def of(rows: DataFrame, months: Iterable[int]) -> DataFrame:
+            return rows.where(F.col(MONTH).isin(sorted(months)))
+
+        fresh = materialize(states.usage_state(of(extract, touched["usage"])), "usage-state")
+        now = fresh.unionByName(self.usage_states().where(~F.col(MONTH).isin(sorted(touched["usage"]))))
         replaced = touched["usage"] | touched["tickets"] | self._following(now, fresh, owner_rows, touched["usage"])
-        for name in seen:
-            self._mark(name, {m: v for m, v in before[name].items() if m not in replaced})
         if replaced:
-            finished = ticket_rows.where(F.col(MONTH).isin(sorted(replaced)))
-            replace_partitions(self._fact_rows(now, owner_rows, finished, replaced), self._path("fact"), MONTH, replaced)
-        changed = F.col(MONTH).isin(sorted(touched["usage"]))
-        replace_partitions(fresh, self._path("usage_state"), MONTH, touched["usage"])
-        replace_partitions(extract.where(changed), self._path("usage"), MONTH, touched["usage"])
-        shifted = F.col(MONTH).isin(sorted(touched["tickets"]))
-        replace_partitions(ticket_rows.where(shifted), self._path("ticket_state"), MONTH, touched["tickets"])
+            self._mark({name: {m: v for m, v in before[name].items() if m not in replaced} for name in seen})
+            rows = materialize(self._fact_rows(now, owner_rows, of(ticket_rows, replaced), replaced), "usage-fact")
+            replace_partitions(rows, self._path("fact"), MONTH, replaced)
+            discard(rows)
+            if touched["usage"]:
+                replace_partitions(fresh, self._path("usage_state"), MONTH, touched["usage"])
+                replace_partitions(of(extract, touched["usage"]), self._path("usage"), MONTH, touched["usage"])
         owner_rows.write.mode("overwrite").parquet(self._path("owners"))
-        for name, marks in seen.items():
-            self._mark(name, marks)
+        if replaced:
+            self._mark(seen)
         discard(extract, ticket_rows, owner_rows, fresh)
         return {"read": sorted(touched["usage"]), "replaced": sorted(replaced)}
 
     def _by_month(self, usage: DataFrame) -> DataFrame:
         """The extract with its months, stored by month once: two passes read it, the second only some months."""
-        self._usage_schema = T.StructType([*usage.schema.fields, T.StructField(MONTH, T.IntegerType())])
         path = self._path("extract")
         rows = usage.withColumn(MONTH, month_key(F.col("usage_date"))).hint("rebalance", MONTH)
         rows.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-        stored = self.spark.read.schema(self._usage_schema).parquet(path)
+        stored = self.spark.read.schema(_USAGE).parquet(path)
         stored._folder = path
         return stored
 

@@ -20,9 +20,6 @@ USAGE_SCHEMA = (
     "subscription_id string, days int, features array<string>, uses bigint, seconds bigint, timed_rows bigint, "
     "errors bigint, beta_rows bigint, date_key int"
 )
-TICKET_SCHEMA = (
-    "account_id string, opened bigint, unresolved bigint, hours bigint, closed bigint, score bigint, scored bigint, date_key int"
-)
 _USAGE_SUMS = ("uses", "seconds", "timed_rows", "errors", "beta_rows")
 _TICKET_SUMS = ("opened", "unresolved", "hours", "closed", "score", "scored")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,21 +66,17 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def replace_partitions(rows: DataFrame, path: str, column: str, values: Sequence) -> None:
-    """Make ``rows`` all there is of the partitions ``values`` (of ``column``) in a folder.
+def replace_partitions(rows: DataFrame, path: str, column: str, values: Iterable) -> None:
+    """Make ``rows`` all there is of the partitions ``values`` (of ``column``) in a folder; others are not touched.
 
-    The rows are written to a stage first: they may have been read from the very
-    partitions they replace, and a repeated run finds either the old or the new
-    ones. Other partitions are not touched.
+    ``rows`` are read twice, so they must be stored, and not in the partitions they replace.
     """
     spark = rows.sparkSession
-    staged = materialize(rows, "replacement")
-    dealt = staged.hint("rebalance", column)
+    dealt = rows.hint("rebalance", column)
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    left = {r[0] for r in staged.select(column).distinct().collect()}
+    left = {r[0] for r in rows.select(column).distinct().collect()}
     for value in set(values) - left:
         delete_folder(spark, f"{path.rstrip('/')}/{column}={value}")
-    discard(staged)
 
 
 def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:

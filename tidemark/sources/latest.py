@@ -58,6 +58,8 @@ class LatestRows:
         best = latest_per_key(
             self.stored_beside(touched).unionByName(incoming), [F.col(BUCKET), fold(F.col(self.key))], self.order, [*others, F.col(self.key)]
         )
+        # the stored rows of these buckets are among what replaces them
+        best = materialize(best, "latest")
         replace_partitions(best, self.path, BUCKET, touched)
-        discard(incoming)
+        discard(incoming, best)
         return touched
