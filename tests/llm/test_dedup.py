@@ -10,6 +10,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import rlz, simhash, suffixes
 from tidemark.llm.components import components
@@ -51,6 +52,18 @@ def test_earlier_passages_are_removed(docs, clashing, no_docs):
     assert rlz.remove(no_docs).count() == 0
 
 
+def test_long_words_of_equal_prefix_sums_differ(spark):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2**64, whatever the base."""
+    one = "a"
+    for _ in range(11):
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{n}" for n in range(25))
+    data = [(1, f"{rest} {one} {rest}"), (2, f"{rest} {two} {rest}"), (3, f"{rest} {one} {rest}")]
+    got = {r["doc_id"]: r["n_removed"] for r in rlz.remove(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 51}
+
+
 def test_factors_cover_what_is_removed(docs):
     removed = {r["doc_id"]: r["n_removed"] for r in rlz.remove(docs).collect()}
     covered: dict = {}
@@ -71,18 +84,74 @@ def expected_bytes(docs, length=400):
                 gone[i : i + length] = True
         kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out[d, len(b), int(gone.sum()), spans, sha256(kept).hexdigest()] += 1
+        out[d, len(b), int(gone.sum()), spans, sha256(kept).hexdigest(), len(kept)] += 1
     return out
 
 
-@pytest.mark.parametrize("members", [suffixes.MEMBERS, 1])
+@pytest.mark.parametrize("members", [suffixes.MEMBERS, 3, 1])
 def test_repeated_bytes_are_removed(docs, no_docs, monkeypatch, members):
-    """With few members each anchor's windows are counted by hash instead of in its group."""
+    """With few members anchors are split by their sides before they get a tree."""
     monkeypatch.setattr(suffixes, "MEMBERS", members)
     assert rows(suffixes.remove(docs)) == expected_bytes(documents())
     assert suffixes.remove(no_docs).count() == 0
 
 
+def boilerplate(n, seed=9):
+    """Texts around passages of several lengths, so that one anchor has many surroundings."""
+    rng = random.Random(seed)
+    letters = lambda k: "".join(rng.choices("abcdefghij", k=k))
+    passages = [letters(k) for k in (380, 399, 400, 401, 450, 600, 900)]
+    texts = []
+    for i in range(n):
+        text = letters(rng.randrange(400))
+        for _ in range(rng.randrange(3)):
+            passage = rng.choice(passages)
+            text += passage[rng.choice([0, 0, 5]) :] + letters(rng.choice([0, 3, 300]))
+        texts.append(text if i % 17 else text[:100])
+    return [(n, t) for n, t in enumerate(texts)] + [(n, "ab" * 500) for n in (7, 900)]
+
+
+def _whole_characters(b, gone):
+    """The text without the characters all of whose bytes are gone."""
+    out, at = "", 0
+    for c in b.decode():
+        size = len(c.encode())
+        out += "" if gone[at : at + size].all() else c
+        at += size
+    return out
+
+
+def kept_by_scan(data, length):
+    """Texts without the bytes of windows that an earlier row or place has."""
+    first, out = {}, []
+    for n, text in enumerate(data):
+        b = (text or "").encode()
+        for i in range(len(b) - length + 1):
+            first.setdefault(b[i : i + length], (n, i))
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if first[b[i : i + length]] < (n, i):
+                gone[i : i + length] = True
+        out.append(None if text is None else _whole_characters(b, gone))
+    return out
+
+
+@pytest.mark.parametrize("members", [suffixes.MEMBERS, 2])
+def test_large_anchors_and_first_occurrences(spark, tmp_path, monkeypatch, members):
+    monkeypatch.setattr(suffixes, "MEMBERS", members)
+    data = boilerplate(90)
+    spark.createDataFrame(data, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "many"))
+    stored = spark.read.parquet(str(tmp_path / "many"))
+    want = expected_bytes(data)
+    assert sum(r[2] > 0 for r in want) > 30
+    assert rows(suffixes.remove(stored)) == want
+    numbered = sorted(stored.withColumn("n", F.monotonically_increasing_id()).collect(), key=lambda r: r["n"])
+    for length in (250, 400):
+        plain = kept_by_scan([r["text"] for r in numbered], length)
+        got = {r["n"]: r["text"] for r in suffixes.strip_texts(stored.withColumn("n", F.monotonically_increasing_id()), length, True).collect()}
+        assert [got[r["n"]] for r in numbered] == plain
+
+
 def test_repeats_of_other_columns(clashing):
     assert rows(suffixes.remove(clashing)) == expected_bytes(documents())
 
@@ -94,6 +163,25 @@ def test_interval_tree_and_maximal_repeats():
     assert suffixes.maximal_repeats(sides, 6) == []
 
 
+def test_reaches_are_those_of_all_pairs():
+    rng = random.Random(11)
+    for n in (2, 3, 40, 90):
+        pool = ["".join(rng.choices("ab", k=12)) for _ in range(8)]
+        sides = [tuple((rng.choice(pool)[rng.randrange(9) :] + rng.choice(pool))[: rng.randrange(20)].encode() for _ in range(2)) for _ in range(n)]
+        order = np.array(rng.sample(range(n), n))
+        for need, numbers in ((5, None), (5, order), (12, None), (12, order), (0, order)):
+            left, right = np.full(n, -1), np.full(n, -1)
+            for i in range(n):
+                for j in range(n):
+                    if i != j and (numbers is None or numbers[j] < numbers[i]):
+                        before = next((k for k in range(99) if sides[i][0][::-1][k : k + 1] != sides[j][0][::-1][k : k + 1] or k >= len(sides[i][0])), 0)
+                        after = next((k for k in range(99) if sides[i][1][k : k + 1] != sides[j][1][k : k + 1] or k >= len(sides[i][1])), 0)
+                        if before + after >= need:
+                            left[i], right[i] = max(left[i], before), max(right[i], after)
+            got = suffixes.reaches(sides, need, numbers)
+            assert got[0].tolist() == left.tolist() and got[1].tolist() == right.tolist()
+
+
 def test_stripped_texts_stay_valid(spark, docs, no_docs, tmp_path):
     got = suffixes.strip_texts(docs)
     assert got.columns == docs.columns and got.count() == docs.count()
@@ -179,89 +267,48 @@ def test_components_of_a_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_one_row_of_each_group_stays(docs, clashing, no_docs):
-    got = simhash.one_of_each(docs)
-    assert got.columns == docs.columns
-    kept = Counter(r["doc_id"] for r in got.collect())
-    assert kept[4] == 1 and kept[5] == 1 and kept[27] == kept[28] == 0
-    assert simhash.one_of_each(no_docs).count() == 0
-
-
-def shingle_set(text, width=5):
-    w = (text or "").encode().lower().split()
-    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else {()}
-
-
-def alike(a, b):
-    return len(a & b) * 5 >= len(a | b) * 4
-
-
-def one_of_each_by_pairs(docs):
-    """Ids of the rows that stay: the first of what pairs of 80% connect."""
+def one_of_each_by_pairs(docs, radius=4):
+    """Ids of the rows that stay: the first of what pairs within the radius connect."""
     order = sorted(docs, key=lambda r: NULLS_LAST if r[0] is None else r[0])
-    sets = [shingle_set(t) for _, t, *_ in order]
-    group = list(range(len(sets)))
-    for i in range(len(sets)):
+    marks = [fingerprint(t) for _, t, *_ in order]
+    group = list(range(len(marks)))
+    for i in range(len(marks)):
         for j in range(i):
-            if group[i] != group[j] and alike(sets[i], sets[j]):
+            if group[i] != group[j] and (marks[i] ^ marks[j]).bit_count() <= radius:
                 old, new = max(group[i], group[j]), min(group[i], group[j])
                 group = [new if g == old else g for g in group]
     return Counter(order[n][0] for n, g in enumerate(group) if g == n)
 
 
 def like_texts():
-    """Near copies in chains, and texts of the same words whose five-word shingles differ."""
+    """Near copies in chains, and short texts of few words."""
     rng = random.Random(5)
     texts = []
     for _ in range(6):
         words = [f"w{rng.randrange(5000)}" for _ in range(300)]
-        for _ in range(4):
+        for _ in range(8):
             texts.append(" ".join(words))
-            for _ in range(3):  # the last of a chain is below 80% of the first
-                words[rng.randrange(300)] = f"w{rng.randrange(5000)}"
-            shuffled = words[:]
-            rng.shuffle(shuffled)
-            texts.append(" ".join(shuffled))
-        texts.append(" ".join(sorted(words)))
+            words[rng.randrange(300)] = f"w{rng.randrange(5000)}"
     few = "one two three four five six seven".split()
     texts += [" ".join(rng.sample(few, 7)) for _ in range(20)] + [" ".join(few[:3]), " ".join(few[2::-1]), "One  two three", "", " "]
     rng.shuffle(texts)
     return [(n, t) for n, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("members", [simhash.MEMBERS, 1])
-def test_only_texts_of_like_shingles_go(spark, docs, tmp_path, monkeypatch, members):
-    """With few members each candidate set is split by rare shingles before it is clustered."""
-    monkeypatch.setattr(simhash, "MEMBERS", members)
+def test_one_row_of_each_component_stays(spark, docs, clashing, no_docs, tmp_path):
+    for rows_ in (docs, clashing):
+        got = simhash.one_of_each(rows_)
+        assert got.columns == rows_.columns
+        assert Counter(r["doc_id"] for r in got.collect()) == one_of_each_by_pairs(documents())
+    assert simhash.one_of_each(no_docs).count() == 0
     spark.createDataFrame(like_texts(), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "like"))
-    got = simhash.one_of_each(spark.read.parquet(str(tmp_path / "like")))
     want = one_of_each_by_pairs(like_texts())
     assert len(want) < len(like_texts()) - 15
-    assert Counter(r["doc_id"] for r in got.collect()) == want
-    assert Counter(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == one_of_each_by_pairs(documents())
-
-
-def test_clusters_are_those_of_all_pairs():
-    rng = np.random.default_rng(3)
-    sets = [rng.choice(1 << 40, n, replace=False).astype(np.uint64) for n in rng.integers(0, 40, 40)]
-    for _ in range(160):
-        own = sets[rng.integers(len(sets))].copy()
-        if len(own):
-            own[rng.integers(len(own), size=max(1, len(own) // 12))] = rng.integers(1 << 40)
-        sets.append(np.unique(own))
-    sets = [np.unique(s) for s in sets]
-    want = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            a, b = set(sets[i].tolist()), set(sets[j].tolist())
-            if a & b and alike(a, b):
-                old, new = max(want[i], want[j]), min(want[i], want[j])
-                want = [new if g == old else g for g in want]
-    assert simhash.clusters(sets).tolist() == want and len(set(want)) < 150
+    assert Counter(r["doc_id"] for r in simhash.one_of_each(spark.read.parquet(str(tmp_path / "like"))).collect()) == want
 
 
 def test_equal_sides_of_different_anchors_are_no_repeat(spark, tmp_path, monkeypatch):
-    """Anchors of many surroundings are counted by windows; what stands in the anchor is part of a window."""
+    """Anchors of many surroundings are split by their sides; what stands in the anchor is part of a window."""
     monkeypatch.setattr(suffixes, "MEMBERS", 1)
     rng = np.random.default_rng(4)
     letters = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()

@@ -26,22 +26,50 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(str, df.select(columns).collect())) == sorted(map(str, spark.createDataFrame(result.fetchall(), df.select(columns).schema).collect()))
 
 
-def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
+def test_stages_equal_plain_versions(spark, tmp_path):
+    """Each stage's rows, from the rows the stage before it left."""
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import quality
+
+    from .test_dedup import kept_by_scan, one_of_each_by_pairs
+
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    counts = [docs.count()]
+    columns, before, left = docs.columns, None, []
     for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, str(FOLDER))
-        if n < len(corpus_pipeline.STAGES) - 1:
-            assert out.schema.names == docs.schema.names
-        out.write.parquet(str(tmp_path / str(n)))
+        before = docs.withColumn("_n", F.monotonically_increasing_id()).orderBy("_n").collect()
+        stage(spark, docs, str(FOLDER)).write.parquet(str(tmp_path / str(n)))
         docs = spark.read.parquet(str(tmp_path / str(n)))
-        counts.append(docs.count())
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
-    good = labels.where("quality = 1").join(spark.read.parquet(str(tmp_path / "0")), "doc_id").count()
-    assert good >= 0.97 * labels.where("quality = 1").count()
-    assert counts[0] > counts[1] > counts[2] == counts[3] == counts[4] <= counts[5]
-    places = docs.groupBy("sequence_id").agg({"length": "sum"})
-    assert places.where("`sum(length)` > 4096").count() == 0
+        after = docs.collect()
+        left.append(len(after))
+        if n < 4:
+            assert docs.columns == columns
+        kept = {r["doc_id"]: r for r in after}
+        if n == 0:
+            weights = queries.quality_weights(spark, str(FOLDER))
+            assert set(kept) == {r["doc_id"] for r in before if quality.score_of((r["text"] or "").encode(), weights) >= 0.3}
+        elif n == 1:
+            assert set(kept) == set(one_of_each_by_pairs([(r["doc_id"], r["text"]) for r in before]))
+        elif n == 2:
+            plain = kept_by_scan([r["text"] for r in before], corpus_pipeline.PASSAGE_BYTES)
+            changed = [t for t, r in zip(plain, before, strict=True) if t != r["text"]]
+            assert changed
+            by_id = {r["doc_id"]: t for t, r in zip(plain, before, strict=True)}
+            assert {d: r["text"] for d, r in kept.items()} == by_id
+        elif n == 3:
+            assert set(kept) == {r["doc_id"] for r in before}
+        else:
+            words = Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
+            ids = {r["doc_id"]: len(words.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in before}
+            lengths: dict = {}
+            for r in after:
+                lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
+            assert lengths == ids
+            assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1")
+    good = labels.join(spark.read.parquet(str(tmp_path / "0")), "doc_id").count()
+    assert good >= 0.97 * labels.count() and left[1] < left[0]
 
 
 @pytest.mark.parametrize("stage", range(5))

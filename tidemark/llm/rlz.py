@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, apart, blocks, id_text, map_texts, packed, unpack
-from .hashing import covered, minimizers, run_hashes, signed, span_hashes, word_spans
+from .hashing import covered, minimizers, run_hashes, signed, word_hashes, word_spans
 
 GRAM = 10  # words of an anchor
 
@@ -31,7 +31,7 @@ def _windows(data: bytes, length: int):
     starts, ends = word_spans(data)
     if len(starts) < length:
         return starts, ends, None, None, None
-    words = span_hashes(data, starts, ends)
+    words = word_hashes(data, starts, ends)
     grams = run_hashes(words, GRAM)
     places, of = minimizers(grams, length - GRAM + 1)
     return starts, ends, signed(run_hashes(words, length)), signed(grams[places]), of

@@ -6,10 +6,6 @@ whose vector has an odd inner product with v. The vectors of at most r
 differing positions span less than the whole space, so some v is orthogonal to
 all of them and that table's masked fingerprints are equal: no pair within the
 radius is missed. Distances are checked exactly before a link is made.
-
-The rows that ``one_of_each`` drops are linked by more than fingerprints: these
-only tell which texts may be alike, and each such set of texts is then clustered
-by the exact Jaccard similarity of their five-word shingles.
 """
 
 from __future__ import annotations
@@ -19,22 +15,14 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import NULL_ID, apart, blocks, free_name, id_text, map_texts, packed, unpack
+from .common import NULL_ID, apart, free_name, id_text, map_texts
 from .components import components
 
 SEED = 42
 BITS = 64
-# What near duplicates are: texts that share 4/5 of their five-word shingles.
-SHINGLE = 5
-LIKE = (4, 5)
-# Independent fingerprints of a text's distinct words, which find candidates.
-SEEDS = (0, 1, 2)
-# Candidate sets of more texts are split by shared rare shingles before they are clustered.
-MEMBERS = 256
 
 
 def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
@@ -64,14 +52,6 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return majority(shingle_hashes(text.lower().split(), shingle))
 
 
-def mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
-    """Hashes of hashes (SplitMix64), independent from seed to seed."""
-    x = hashes + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle: int = 4) -> DataFrame:
     """``doc_id, fingerprint`` (a signed long) of every whole text; null and empty texts have zero."""
 
@@ -178,182 +158,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", radius: int = 4, sh
     )
 
 
-def _distinct_texts(rows: DataFrame, row: str) -> DataFrame:
-    """``node, id, f0, f1, ...``: one row for each sequence of words, by its first row; and a fingerprint for each seed.
-
-    Rows are in the order of doc_id (nulls last) and of their place in the scan.
-    """
-    from xxhash import xxh3_128_digest, xxh64_intdigest
-
-    names = [f"f{n}" for n in range(len(SEEDS))]
-
-    def run(ids, texts):
-        out = {"doc_id": ids, "digest": []} | {c: [] for c in names}
-        for text in texts:
-            words = text.lower().split()
-            hashes = np.array([xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)
-            out["digest"].append(xxh3_128_digest(b" ".join(words)))
-            for c, seed in zip(names, SEEDS, strict=True):
-                out[c].append(majority(mixed(hashes, seed)))
-        return out | {c: np.array(out[c], np.uint64).view(np.int64) for c in names}
-
-    schema = "doc_id long, digest binary, " + ", ".join(f"{c} long" for c in names)
-    marks = map_texts(id_text(rows, row), run, schema).withColumnRenamed("doc_id", "at")
-    ids = rows.select(F.col(row).alias("at"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"))
-    first = F.min(F.struct("id", "at")).alias("first")
-    found = marks.join(ids, "at").groupBy("digest").agg(first, *[F.first(c).alias(c) for c in names])
-    return materialize(found.select(F.col("first.at").alias("node"), F.col("first.id").alias("id"), *names), "texts")
-
-
-def _candidates(texts: DataFrame, radius: int) -> DataFrame:
-    """``node, part``: texts that links within ``radius`` connect, of any seed's fingerprints; a text alone has no row."""
-    edges = None
-    for n in range(len(SEEDS)):
-        marks = texts.select(F.col(f"f{n}").alias("fingerprint"), "node")
-        firsts = materialize(marks.groupBy("fingerprint").agg(F.min("node").alias("m")), "firsts")
-        near = links(firsts.select("fingerprint"), radius).distinct()
-        ends = [firsts.select(F.col("fingerprint").alias(c), F.col("m").alias(f"m{c}")) for c in "ab"]
-        same = marks.join(apart(firsts, "fingerprint"), "fingerprint").where("node <> m")
-        found = near.join(ends[0], "a").join(ends[1], "b").select(F.col("ma").alias("a"), F.col("mb").alias("b"))
-        found = materialize(found.unionByName(same.select(F.col("node").alias("a"), F.col("m").alias("b"))), "near")
-        edges = found if edges is None else edges.unionByName(found)
-    roots = components(edges).select("node", F.col("root").alias("part"))
-    return roots.unionByName(roots.select(F.col("part").alias("node"), "part").distinct())
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
-    return np.unique(shingle_hashes(text.lower().split(), SHINGLE))
-
-
-def prefix_length(n: int) -> int:
-    """Of n shingles in any common order, so many first ones hold one of every text that is alike."""
-    return n - -(-n * LIKE[0] // LIKE[1]) + 1
-
-
-def clusters(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set the first one that pairs with Jaccard similarity of ``LIKE`` connect it to.
-
-    A set is compared with those not reached yet that hold one of its rarest
-    elements, so a dense cluster shrinks quickly and its pairs are never listed.
-    """
-    sizes = np.array([len(s) for s in sets])
-    ends = np.cumsum(sizes)
-    found, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(found), np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(found))
-    single = int(np.count_nonzero(counts == 1))  # the first ranks
-    ranks = [np.sort(rank[codes[e - n : e]]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-    prefixes = [r[: prefix_length(len(r))] for r in ranks]
-    prefixes = [p[p >= single] for p in prefixes]
-    owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes])
-    keys = np.concatenate(prefixes)
-    order = np.argsort(keys, kind="stable")
-    cut = np.flatnonzero(np.diff(keys[order])) + 1
-    holders = dict(zip(keys[order][np.append(0, cut)].tolist(), np.split(owner[order], cut), strict=True)) if len(keys) else {}
-    left, marked = np.ones(len(sets), bool), np.zeros(len(found), bool)
-    label = np.arange(len(sets))
-    for first in range(len(sets)):
-        reached = [first] if left[first] else []
-        left[first] = False
-        while reached:
-            x = reached.pop()
-            near = [np.zeros(0, np.int64)]
-            for key in prefixes[x].tolist():
-                holders[key] = holders[key][left[holders[key]]]
-                near.append(holders[key])
-            near = np.unique(np.concatenate(near))
-            small, large = np.minimum(sizes[near], sizes[x]), np.maximum(sizes[near], sizes[x])
-            near = near[small * LIKE[1] >= large * LIKE[0]]
-            if not len(near):
-                continue
-            marked[ranks[x]] = True
-            both = np.array([np.count_nonzero(marked[ranks[y]]) for y in near.tolist()])
-            marked[ranks[x]] = False
-            alike = near[both * LIKE[1] >= (sizes[near] + sizes[x] - both) * LIKE[0]]
-            left[alike], label[alike] = False, first
-            reached.extend(alike.tolist())
-    return label
-
-
-def _split(large: DataFrame) -> DataFrame:
-    """``node, part``: texts (``node, part, packed``) of large parts that a shared rare shingle connects.
-
-    Alike texts share one of their rarest shingles. Each such shingle ties its
-    texts to the first of them, so no pairs are listed.
-    """
+def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
+    """The rows of ``docs`` with one row of each near-duplicate component: the smallest doc_id, nulls last, then the first row.
 
-    def run(batches):
-        for block in blocks(batches):
-            for node, part, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), unpack(block.column(2)), strict=True):
-                marks = shingles(text).view(np.int64)
-                n = len(marks)
-                columns = [np.full(n, node), np.full(n, part), np.full(n, n), marks]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "part", "n", "mark"])
-
-    marks = materialize(large.select("node", "part", "packed").mapInArrow(run, "node long, part long, n long, mark long"), "shingles")
-    shared = marks.groupBy("part", "mark").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    known = marks.join(apart(shared, "part", "mark"), ["part", "mark"])
-    rarest = W.partitionBy("node").orderBy("texts", "mark")
-    alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("node"))  # shingles of no other text come first
-    longest = F.expr(f"n - (n * {LIKE[0]} + {LIKE[1] - 1}) div {LIKE[1]} + 1")
-    prefix = known.withColumn("nth", F.row_number().over(rarest) + alone).where(F.col("nth") <= longest)
-    prefix = materialize(prefix.select("node", "part", "mark"), "prefixes")
-    firsts = prefix.groupBy("part", "mark").agg(F.min("node").alias("m"))
-    ties = prefix.join(apart(firsts, "part", "mark"), ["part", "mark"]).where("node <> m")
-    roots = components(ties.select(F.col("node").alias("a"), F.col("m").alias("b")))
-    roots = roots.select("node", F.col("root").alias("part"))
-    return roots.unionByName(roots.select(F.col("part").alias("node"), "part").distinct())
-
-
-def _dropped(members: DataFrame) -> DataFrame:
-    """``node``: all texts but the first of each cluster, of ``node, id, part, packed``; each part is one task's."""
-
-    def drops(group: list) -> list[int]:
-        group.sort(key=lambda g: (g[1], g[0]))  # the first of a cluster is the one that stays
-        label = clusters([g[2] for g in group])
-        return [g[0] for n, g in enumerate(group) if label[n] != n]
-
-    def run(batches):
-        group, last = [], None
-        for block in blocks(batches):
-            out = []
-            for node, key, part, text in zip(*(block.column(c).to_pylist() for c in range(3)), unpack(block.column(3)), strict=True):
-                if part != last:
-                    out += drops(group) if len(group) > 1 else []
-                    group, last = [], part
-                group.append((node, key, shingles(text)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["node"])
-        yield pa.RecordBatch.from_arrays([pa.array(drops(group) if len(group) > 1 else [], pa.int64())], ["node"])
-
-    dealt = members.repartition("part").sortWithinPartitions("part")
-    return dealt.select("node", "id", "part", "packed").mapInArrow(run, "node long")
-
-
-def one_of_each(docs: DataFrame, radius: int = 5) -> DataFrame:
-    """The rows of ``docs`` with one row of each near-duplicate group: the smallest doc_id, nulls last, then the first row.
-
-    Texts of the same words, and texts that share at least ``LIKE`` of their
-    distinct ``SHINGLE``-word runs, are linked; a group is what links connect.
-    ``docs`` must be a stored table: its rows are known by their place in the scan.
-
-    Such texts differ in some 12 bits of a fingerprint over those shingles, beyond
-    what covering tables can search, and in about 3 bits of one over distinct
-    words. So candidates come from the latter, with a fingerprint for each of
-    ``SEEDS``, and every link is confirmed on the shingles.
+    Components are those of ``near_duplicates``: copies share a fingerprint, and
+    texts without words form one component. ``docs`` must be a stored table: its
+    rows are known by their place in the scan.
     """
     row = free_name(docs, "_row")
     rows = docs.withColumn(row, F.monotonically_increasing_id())
-    texts = _distinct_texts(rows, row)
-    parts = materialize(_candidates(texts, radius), "parts")
-    near = texts.select("node", "id").join(parts, "node")
-    whole = packed(id_text(rows, row)).withColumnRenamed("doc_id", "node")
-    members = materialize(whole.join(near, "node").select("node", "id", "part", "packed"), "members")
-    sizes = members.groupBy("part").agg((F.count(F.lit(1)) > MEMBERS).alias("large"))
-    sized = members.join(apart(sizes, "part"), "part")
-    small, large = sized.where("not large"), sized.where("large")
-    large = large.drop("part").join(_split(large), "node")
-    columns = ["node", "id", "part", "packed"]
-    dropped = materialize(_dropped(small.select(columns).unionByName(large.select(columns))), "dropped")
-    kept = texts.join(dropped, "node", "left_anti").select(F.col("node").alias(row))
+    marks = materialize(fingerprints(rows, row, shingle).withColumnRenamed("doc_id", "row"), "fingerprints")
+    found = groups(marks, radius)
+    ids = rows.select(F.col(row).alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"))
+    first = found.join(ids, "row").groupBy("_group").agg(F.min(F.struct("id", "row")).alias("first"))
+    kept = first.select(F.col("first.row").alias(row))
     return rows.join(kept, row, "left_semi").select(docs.columns)

@@ -13,8 +13,12 @@ interval tree from the leaves up. In an interval all suffixes share a prefix;
 those whose texts differ on the left, but by no more than the window allows,
 make a maximal repeat with all its occurrences.
 
-An anchor with more surroundings than ``MEMBERS`` is not put into one task. Its
-windows are hashed and counted by a distributed aggregation, which is exact.
+An anchor with more surroundings than ``MEMBERS`` is split before: a window reaches
+``y`` bytes beyond its anchor and the rest of its length before it, so windows whose
+``y`` lies in an interval agree in the interval's least reach on either side. Halving
+the intervals splits a group by ever longer sides; every two surroundings that share a
+window stay together in one of the parts. A part all of whose members agree in every
+window of its interval is a repeat as it is, any other small part gets its tree.
 
 Texts are scanned several times and rows are known by their place in the scan:
 ``docs`` must be a stored table, or columns of one.
@@ -22,6 +26,7 @@ Texts are scanned several times and rows are known by their place in the scan:
 
 from __future__ import annotations
 
+import struct
 from hashlib import sha256
 
 import numpy as np
@@ -30,12 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import apart, blocks, free_name, id_text, map_texts, packed, unpack
 from .hashing import byte_values, covered, minimizers, run_hashes, signed
 
 GRAM = 128
-MEMBERS = 256
+# Surroundings of one anchor that one task takes: some 550 bytes each.
+MEMBERS = 8192
 
 
 def _sides(data: bytes, at: int, length: int) -> tuple[bytes, bytes]:
@@ -59,16 +65,16 @@ def _merged(places: np.ndarray, reach: int) -> bytes:
 
 
 def _occurrences(rows: DataFrame, length: int) -> DataFrame:
-    """``row, at, n, more, anchor, around``: the anchors of every text, with 64-bit hashes.
+    """``row, at, n, more, rest, anchor, around``: the anchors of every text, with 64-bit hashes.
 
     A text's ``n`` anchors of the same surroundings are one row, with the first
-    place; ``more`` then holds all their spans. So a line that a text repeats a
-    thousand times counts once.
+    place; ``more`` then holds all their spans and ``rest`` those but the first. So
+    a line that a text repeats a thousand times counts once.
     """
     reach = length - GRAM
 
     def run(ids, texts):
-        out = {c: [] for c in ("row", "at", "n", "more", "anchor", "around")}
+        out = {c: [] for c in ("row", "at", "n", "more", "rest", "anchor", "around")}
         for row, data in zip(ids, texts, strict=True):
             if len(data) < length:
                 continue
@@ -83,14 +89,16 @@ def _occurrences(rows: DataFrame, length: int) -> DataFrame:
             out["row"].append(np.full(len(first), row, np.int64))
             out["at"].append(places[order[first]].astype(np.int32))
             out["n"].append(n.astype(np.int32))
-            out["more"] += [_merged(places[order[f : f + k]], reach) if k > 1 else None for f, k in zip(first.tolist(), n.tolist(), strict=True)]
+            runs = [places[order[f : f + k]] for f, k in zip(first.tolist(), n.tolist(), strict=True)]
+            out["more"] += [_merged(r, reach) if len(r) > 1 else None for r in runs]
+            out["rest"] += [_merged(r[1:], reach) if len(r) > 1 else None for r in runs]
             out["anchor"].append(anchor[order[first]])
             out["around"].append(around[order[first]])
         types = {"at": np.int32, "n": np.int32}
-        joined = {c: np.concatenate([np.zeros(0, types.get(c, np.int64)), *v]) for c, v in out.items() if c != "more"}
-        return joined | {"more": out["more"]}
+        joined = {c: np.concatenate([np.zeros(0, types.get(c, np.int64)), *v]) for c, v in out.items() if c not in ("more", "rest")}
+        return joined | {c: out[c] for c in ("more", "rest")}
 
-    return map_texts(rows, run, "row long, at int, n int, more binary, anchor long, around long")
+    return map_texts(rows, run, "row long, at int, n int, more binary, rest binary, anchor long, around long")
 
 
 def _neighbours(items: list[bytes]) -> np.ndarray:
@@ -109,14 +117,12 @@ def _neighbours(items: list[bytes]) -> np.ndarray:
 
 def intervals(prefixes: np.ndarray) -> list[tuple[int, int, int]]:
     """The interval tree of a sorted array from its common prefixes: ``depth, first, end``, children before parents."""
-    found, stack = [], [(0, 0)]
-    for n in range(1, len(prefixes) + 1):
-        depth, first = (int(prefixes[n]) if n < len(prefixes) else -1), n - 1
+    found, stack = [], []
+    for n, depth in enumerate([*prefixes[1:].tolist(), -1], 1):
+        first = n - 1
         while stack and stack[-1][0] > depth:
             top, first = stack.pop()
-            # the root counts only where nothing longer is common to all
-            if n - first > 1 and prefixes[first + 1 : n].min() == top:
-                found.append((top, first, n))
+            found.append((top, first, n))
         if depth >= 0 and (not stack or stack[-1][0] < depth):
             stack.append((depth, first))
     return found
@@ -152,25 +158,98 @@ def maximal_repeats(sides: list[tuple[bytes, bytes]], need: int) -> list[tuple[i
     return out
 
 
-def _group_spans(sides: list[tuple[bytes, bytes]], need: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each member, how far repeats of at least the window reach before and after the anchor; -1 for none."""
+class _Least:
+    """Least values of runs of an array, all queries at once (a sparse table)."""
+
+    def __init__(self, values: np.ndarray):
+        self.rows = [values]
+        while 2 << (len(self.rows) - 1) <= len(values):
+            last, step = self.rows[-1], 1 << (len(self.rows) - 1)
+            self.rows.append(np.minimum(last[:-step], last[step:]))
+
+    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The least of ``values[first..last]``, both ends included, for each pair."""
+        level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+        out = np.empty(len(first), np.int64)
+        for n in np.unique(level).tolist():
+            at = level == n
+            out[at] = np.minimum(self.rows[n][first[at]], self.rows[n][last[at] + 1 - (1 << n)])
+        return out
+
+
+def _earlier(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each member the least of ``common`` up to the nearest one before it of a smaller order; -1 without one."""
+    at, least = np.arange(len(order)) - 1, np.append(-1, common)
+    todo = np.flatnonzero((at >= 0) & (order[at] > order))
+    while len(todo):
+        passed = at[todo]  # what lies between it and its own nearest is of greater order still
+        least[todo] = np.minimum(least[todo], least[passed])
+        at[todo] = at[passed]
+        todo = todo[at[todo] >= 0]
+        todo = todo[order[at[todo]] > order[todo]]
+    return np.where(at < 0, -1, least)
+
+
+def reaches(sides: list[tuple[bytes, bytes]], need: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each member how far repeats of ``need`` bytes beside the anchor reach before and after it; -1 for none.
+
+    A stack scan visits the intervals of members that agree on the right. Within
+    one, members sorted by their reversed left sides agree most with a neighbour:
+    that is the longest extension to the left that another occurrence has too. With
+    ``order`` (distinct numbers) only members of a smaller number count as others.
+    """
+    rights = np.array(sorted(range(len(sides)), key=lambda i: sides[i][1]))
+    backwards = np.array(sorted(range(len(sides)), key=lambda i: sides[i][0][::-1]))
+    rank = np.empty(len(sides), np.int64)
+    rank[backwards] = np.arange(len(sides))
+    common_left = _Least(_neighbours([sides[i][0][::-1] for i in backwards]))
     left, right = np.full(len(sides), -1, np.int64), np.full(len(sides), -1, np.int64)
-    for before, after, members in maximal_repeats(sides, need):
-        left[members] = np.maximum(left[members], before)
-        right[members] = np.maximum(right[members], after)
+    for depth, first, end in intervals(_neighbours([sides[i][1] for i in rights])):
+        ranks = np.sort(rank[rights[first:end]])
+        common = common_left.of(ranks[:-1] + 1, ranks[1:])
+        if common.max() + depth < need:
+            continue
+        own = backwards[ranks]
+        if order is None:
+            best = np.maximum(np.append(common, -1), np.append(-1, common))
+        else:
+            best = np.maximum(_earlier(order[own], common), _earlier(order[own][::-1], common[::-1])[::-1])
+        hit = (best >= 0) & (best + depth >= need)
+        left[own[hit]] = np.maximum(left[own[hit]], best[hit])
+        right[own[hit]] = np.maximum(right[own[hit]], depth)
     return left, right
 
 
-def repeats(rows: DataFrame, length: int = 400) -> DataFrame:
+def _group_spans(group: list[tuple], need: int, first_stays: bool) -> list[tuple[int, int, int]]:
+    """``row, start, end`` of what repeats of at least the window cover around each anchor of a group.
+
+    Members are ``row, at, n, before, after``. With ``first_stays`` a member needs an
+    earlier one; else a member that occurs ``n > 1`` times is covered already.
+    """
+    order = None
+    if first_stays:
+        order = np.empty(len(group), np.int64)
+        order[sorted(range(len(group)), key=lambda i: group[i][:2])] = np.arange(len(group))
+    left, right = reaches([g[3:5] for g in group], need, order)
+    # a member's spans all hold the anchor, so their union reaches from the farthest left to the farthest right
+    return [
+        (g[0], g[1] - int(a), g[1] + GRAM + int(b))
+        for g, a, b in zip(group, left, right, strict=True)
+        if a >= 0 and (first_stays or g[2] == 1)
+    ]
+
+
+def repeats(rows: DataFrame, length: int = 400, first_stays: bool = False) -> DataFrame:
     """``row, spans``: what repeated strings cover of each text (``doc_id, text``, ids unique).
 
     A string of ``length`` bytes is repeated if it starts anywhere else, in the
-    same text too. Texts without a repeated string have no row. A span has
-    ``start``, ``end``, which may lie beyond the text, and ``more``, packed pairs
-    instead of these.
+    same text too; with ``first_stays`` only if it starts in a row of a smaller
+    number, or earlier in the same text. Texts without a repeated string have no
+    row. A span has ``start``, ``end``, which may lie beyond the text, and ``more``,
+    packed pairs instead of these.
     """
     reach = length - GRAM
-    occurrences = _occurrences(rows, length)
+    occurrences = materialize(_occurrences(rows, length), "occurrences")
     groups = (
         occurrences.groupBy("anchor")
         .agg(F.sum("n").alias("total"), F.min("around").alias("least"), F.max("around").alias("most"))
@@ -179,25 +258,33 @@ def repeats(rows: DataFrame, length: int = 400) -> DataFrame:
     )
     # repeated anchors, written once: several plans read them
     shared = materialize(occurrences.join(apart(groups, "anchor"), "anchor"), "anchors")
+    discard(occurrences)
     # in groups of several surroundings, those that occur twice cover their places at once
     classes = materialize(
-        shared.where("mixed")
+        (shared if first_stays else shared.where("mixed"))
         .groupBy("anchor", "around")
-        .agg(F.sum("n").alias("n"), F.min(F.struct("row", "at")).alias("place")),
+        .agg(F.sum("n").alias("n"), F.min(F.struct("row", "at")).alias("place"), F.max("mixed").alias("mixed")),
         "surroundings",
     )
-    sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
-    twice = classes.where("n > 1").select("anchor", "around")
-    places = shared.where("not mixed").unionByName(
-        shared.where("mixed").join(twice, ["anchor", "around"], "left_semi").select(shared.columns)
-    )
+    twice = apart(classes.where("n > 1").select("anchor", "around", "place"), "anchor", "around")
+    if first_stays:
+        places = shared.join(twice, ["anchor", "around"])
+        first = (F.col("row") == F.col("place.row")) & (F.col("at") == F.col("place.at"))
+        places = places.where(~first | (F.col("n") > 1)).withColumn("more", F.when(first, F.col("rest")).otherwise(F.col("more")))
+    else:
+        places = shared.where("not mixed").unionByName(
+            shared.where("mixed").join(twice, ["anchor", "around"], "left_semi").select(shared.columns)
+        )
     whole = places.select(
         "row", (F.col("at") - reach).alias("start"), (F.col("at") + GRAM + reach).alias("end"), "more"
     )
-    known = _surroundings(rows, classes.join(sizes, "anchor"), length)
-    partial = _in_groups(known.where(F.col("members") <= MEMBERS), length).unionByName(
-        _in_windows(known.where(F.col("members") > MEMBERS), length)
-    )
+    mixed = classes.where("mixed")
+    sizes = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
+    known = _surroundings(rows, mixed.join(apart(sizes, "anchor"), "anchor"), length)
+    small = known.where(F.col("members") <= MEMBERS).withColumns({"h1": F.col("anchor"), "h2": F.lit(0).cast("long")})
+    partial = _in_groups(small, length, first_stays)
+    for spans in _in_parts(known.where(F.col("members") > MEMBERS), length, first_stays):
+        partial = partial.unionByName(spans)
     spans = whole.unionByName(partial.withColumn("more", F.lit(None).cast("binary")))
     return spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", "more")).alias("spans"))
 
@@ -222,32 +309,24 @@ def _surroundings(rows: DataFrame, classes: DataFrame, length: int) -> DataFrame
     return materialize(joined.select("row", "packed", "wanted").mapInArrow(run, schema), "sides")
 
 
-def _in_groups(known: DataFrame, length: int) -> DataFrame:
-    """Spans found within anchors of few surroundings, each group in one task."""
+def _in_groups(known: DataFrame, length: int, first_stays: bool) -> DataFrame:
+    """Spans found within small groups (of equal ``h1, h2``), each in one task."""
     need = length - GRAM
 
-    def spans(group: list) -> list:
-        left, right = _group_spans([(r[5], r[6]) for r in group], need)
-        return [
-            (r[0], r[1] - int(a), r[1] + GRAM + int(b))
-            for r, a, b in zip(group, left, right, strict=True)
-            if a >= 0 and r[3] == 1
-        ]
-
     def run(batches):
-        group, anchor = [], None
+        group, key = [], None
         for block in blocks(batches, 1024):
             out = []
-            for r in zip(*[c.to_pylist() for c in block.columns], strict=True):
-                if r[2] != anchor:
-                    out += spans(group) if len(group) > 1 else []
-                    group, anchor = [], r[2]
-                group.append(r)
+            for *member, h1, h2 in zip(*[c.to_pylist() for c in block.columns], strict=True):
+                if (h1, h2) != key:
+                    out += _group_spans(group, need, first_stays) if len(group) > 1 else []
+                    group, key = [], (h1, h2)
+                group.append(member)
             yield _span_batch(out)
-        yield _span_batch(spans(group) if len(group) > 1 else [])
+        yield _span_batch(_group_spans(group, need, first_stays) if len(group) > 1 else [])
 
-    dealt = known.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("row", "at", "anchor", "n", "members", "before", "after").mapInArrow(run, "row long, start int, end int")
+    dealt = known.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
+    return dealt.select("row", "at", "n", "before", "after", "h1", "h2").mapInArrow(run, "row long, start int, end int")
 
 
 def _span_batch(rows: list) -> pa.RecordBatch:
@@ -255,32 +334,59 @@ def _span_batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate(types)], ["row", "start", "end"])
 
 
-def _in_windows(known: DataFrame, length: int) -> DataFrame:
-    """Spans of the windows around an anchor that occur twice, counted by hash over all tasks."""
+def _halves(lo: int, hi: int) -> list[tuple[int, int]]:
+    middle = (lo + hi) // 2
+    return [(lo, middle), (middle + 1, hi)]
 
-    def run(batches):
-        for block in blocks(batches, 64):
-            row, at, anchor, n = (block.column(c).to_pylist() for c in range(4))
+
+def _in_parts(known: DataFrame, length: int, first_stays: bool):
+    """Span frames of large anchors, from ever narrower intervals of how far windows reach beyond the anchor.
+
+    A round halves the intervals of what is still large, so there are at most
+    as many rounds as the reach has bits.
+    """
+    reach = length - GRAM
+    names = ["row", "at", "n", "anchor", "before", "after", "lo", "hi", "h1", "h2", "full"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()] + [pa.int64()] * 3
+
+    def split(batches):
+        for block in blocks(batches, 512):
             out = []
-            for k, (before, after) in enumerate(zip(block.column(5).to_pylist(), block.column(6).to_pylist(), strict=True)):
-                # windows that start `start` bytes before the anchor, which is part of the key
-                for start in range(max(0, length - GRAM - len(after)), len(before) + 1):
-                    side = before[len(before) - start :] + after[: length - GRAM - start]
-                    h = xxhash.xxh3_128_intdigest(side, start)
-                    out.append((row[k], at[k], n[k], anchor[k], start, (h >> 65) - (1 << 62), (h & ((1 << 63) - 1))))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            for row, at, n, anchor, before, after, lo, hi in zip(*[c.to_pylist() for c in block.columns], strict=True):
+                for a, b in _halves(lo, hi):
+                    if len(after) < a or len(before) < reach - b:
+                        continue  # no window of this interval fits into the text
+                    head = struct.pack("<qii", anchor, a, b)
+                    least = head + before[len(before) - (reach - b) :] + after[:a]
+                    most = b"".join((head, struct.pack("<ii", min(len(before), reach - a), min(len(after), b)), before[max(0, len(before) - (reach - a)) :], after[:b]))
+                    h = xxhash.xxh3_128_intdigest(least)
+                    full = xxhash.xxh3_64_intdigest(most) - (1 << 63)
+                    out.append((row, at, n, anchor, before, after, a, b, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63), full))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names)
 
-    names = ["row", "at", "n", "anchor", "before", "h1", "h2"]
-    key = ["anchor", "h1", "h2"]
-    schema = "row long, at int, n long, anchor long, before int, h1 long, h2 long"
-    columns = ["row", "at", "anchor", "n", "members", "before", "after"]
-    windows = known.select(columns).mapInArrow(run, schema)
-    counts = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key)
-    repeated = windows.where("n = 1").join(apart(counts, *key), key, "left_semi")
-    found = repeated.groupBy("row", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
-    start, end = F.col("at") - F.col("most"), F.col("at") + (length - F.col("least"))
-    return found.select("row", start.alias("start"), end.cast("int").alias("end"))
+    schema = (
+        "row long, at int, n long, anchor long, before binary, after binary, lo int, hi int, h1 long, h2 long, full long"
+    )
+    large = known.withColumns({"lo": F.lit(0), "hi": F.lit(reach)})
+    while not large.isEmpty():
+        parts = materialize(large.select(names[:8]).mapInArrow(split, schema), "parts")
+        sizes = parts.groupBy("h1", "h2").agg(
+            F.count(F.lit(1)).alias("members"),
+            # equal surroundings as far as any window of the interval reaches
+            (F.min("full") == F.max("full")).alias("one"),
+            F.min(F.when((F.length("before") >= reach - F.col("lo")) & (F.length("after") >= F.col("hi")), 1).otherwise(0)).alias("fits"),
+            F.min(F.struct("row", "at")).alias("place"),
+        )
+        sizes = sizes.where("members > 1").withColumn("one", F.col("one") & (F.col("fits") == 1)).drop("fits")
+        sized = materialize(parts.join(apart(sizes, "h1", "h2"), ["h1", "h2"]), "sized")
+        discard(parts)
+        later = (F.col("row") != F.col("place.row")) | (F.col("at") != F.col("place.at"))
+        covered_now = sized.where("one").where(later if first_stays else F.col("n") == 1)
+        yield covered_now.select(
+            "row", (F.col("at") - (reach - F.col("lo"))).cast("int").alias("start"), (F.col("at") + GRAM + F.col("hi")).cast("int").alias("end")
+        )
+        yield _in_groups(sized.where(~F.col("one") & (F.col("members") <= MEMBERS)), length, first_stays)
+        large = sized.where(~F.col("one") & (F.col("members") > MEMBERS))
 
 
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
@@ -307,12 +413,12 @@ def gone(data: bytes, spans: list[dict] | None) -> np.ndarray:
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, repeated rows included.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept`` for every row, repeated rows included.
 
     Every byte goes that a string of ``length`` bytes covers which also starts
     anywhere else, overlaps and the same text included; null texts are empty.
     """
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"]
 
     def run(batches):
         for block in blocks(batches):
@@ -321,22 +427,24 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
                 cut = gone(data, spans)
                 kept = np.frombuffer(data, np.uint8)[~cut].tobytes()
                 runs = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) == 1))
-                out.append((doc, len(data), len(data) - len(kept), runs, sha256(kept).hexdigest()))
-            types = [pa.int64()] * 4 + [pa.string()]
+                out.append((doc, len(data), len(data) - len(kept), runs, sha256(kept).hexdigest(), len(kept)))
+            types = [pa.int64()] * 4 + [pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate(types)], names)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long"
     return marked(docs, id_col, text_col, length).select("doc_id", "packed", "spans").mapInArrow(run, schema)
 
 
-def strip_texts(docs: DataFrame, length: int = 400) -> DataFrame:
+def strip_texts(docs: DataFrame, length: int = 400, first_stays: bool = False) -> DataFrame:
     """``docs`` with repeated bytes cut out of ``text``, and ``n_chars`` (if there) set to its new length.
 
-    Text stays valid: a character goes only if all its bytes do. Null stays null.
+    With ``first_stays`` the first occurrence of a repeated string is kept, by place in
+    the scan; otherwise all go. Text stays valid: a character goes only if all its bytes
+    do. Null stays null, empty texts stay empty; rows of one id or text count each.
     """
     row, spans_name = free_name(docs, "_row"), free_name(docs, "_cut")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    found = repeats(id_text(numbered, row), length).select(F.col("row").alias(row), F.col("spans").alias(spans_name))
+    found = repeats(id_text(numbered, row), length, first_stays).select(F.col("row").alias(row), F.col("spans").alias(spans_name))
     names = docs.columns
     text = names.index("text")
 
