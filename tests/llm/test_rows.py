@@ -111,6 +111,8 @@ def test_urls(spark):
         (8, "net", "/fr/a", *block): 2, (9, "", "", None, "allow"): 1, (None, "com", "", None, "allow"): 1,
         (10, "b:", "//com/", None, "allow"): 1, (11, "notexample.com", "/en/", "com/", "allow"): 1,
     })
+    deep = spark.createDataFrame([(1, "http://" + "a." * 50_000 + "net/fr/")], "page_id long, url string")
+    assert urls.judge(deep, urls.rule_table(spark, queries.URL_RULES)).first()["verdict"] == "block"
     assert urls.judge(pages.where("false"), urls.rule_table(spark, queries.URL_RULES)).count() == 0
 
 
@@ -156,6 +158,37 @@ def test_secrets_against_plain_regexes(spark, docs, clashing, no_docs):
     assert clean[3] == "apikey=short [secret]" and clean[5] is None and clean[4] == "" and "0123" not in clean[2]
 
 
+def test_secrets_beside_placeholders_and_of_few_symbols(spark):
+    import random
+
+    found = ["abcdef9f8Kq2LmZx81PqRt7v", "example/9f8Kq2LmZx81PqRt7vWw33", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzT1234567"]
+    clean = ["EXAMPLE1234567890abcdefXYZ", "internationalization2", "src/main/java/v2/package", "aaaaaaaaaaaaaaaaaaaaaaa1111", "x" * 40 + "1"]
+    rng = random.Random(6)
+    base32 = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz234567", k=26)) for _ in range(60)]
+    df = spark.createDataFrame([(n, f"see {t}, there") for n, t in enumerate(found + clean + base32)], "doc_id long, text string")
+    spans = [r["spans"] for r in secrets.find_secrets(df).orderBy("doc_id").collect()]
+    assert all("entropy" in s for s in spans[:3]) and not any("entropy" in s for s in spans[3:8])
+    assert sum("entropy" in s for s in spans[8:]) >= 51
+    many = " ".join(f"{rng.getrandbits(128):032x}" for _ in range(3000))
+    one = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    assert secrets.find_secrets(one).first()["n_hex"] == 3000
+    assert secrets.redact(one).first()["text"] == " ".join(["[secret]"] * 3000)
+
+
+def test_running_numbers_in_chunks(spark):
+    import itertools
+    import random
+
+    rng = random.Random(7)
+    for n in (0, 1, 255, 256, 257, 1000):
+        xs = [rng.randint(-9, 9) for _ in range(n)]
+        row = spark.createDataFrame([(xs,)], "xs array<int>").select(
+            secrets.running(F.col("xs"), lambda a, b: a + b).alias("sums"), secrets.running(F.col("xs"), F.greatest).alias("most")
+        ).first()
+        assert row["sums"] == [0, *itertools.accumulate(xs)][:n]
+        assert row["most"] == [0, *itertools.accumulate([0, *xs], max)][1 : n + 1]
+
+
 def test_incremental_entropy(spark):
     import math
     import random

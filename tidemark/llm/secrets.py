@@ -9,6 +9,8 @@ the sum of c * log2(c) from which the entropy follows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,59 +23,92 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-# Character classes of candidate strings and the bits a window must reach. Most for 20 characters: 4.32.
+# Candidates that are no secrets: without a digit, without a letter, or paths of words.
+ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[a-z]+([-_/=+][a-z0-9]{1,12})+$")
+ONE_DIGIT = r"^[A-Za-z]*[0-9][A-Za-z]*$"  # a word with a number
+# A window that holds one of these whole does not count.
+PLACEHOLDER = r"(?i:example|x{6}|0{6}|123456|abcdef)"
+# Character classes of candidate strings, the bits a window must reach (20 different characters have 4.32; fewer
+# symbols give fewer bits) and what each allows or leaves to a class before it.
 CLASSES = (
-    ("hexadecimal", r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/_=-])", 3.0),
-    ("alphanumeric", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.8),
+    ("hexadecimal", r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/_=-])", 3.0, ALLOWED),
+    ("one case", r"(?<![A-Za-z0-9+/_=-])(?:[a-z0-9]{20,}|[A-Z0-9]{20,})(?![A-Za-z0-9+/_=-])", 3.5, (*ALLOWED, ONE_DIGIT, r"^[0-9a-f]+$", r"^[0-9A-F]+$")),
+    ("alphanumeric", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.8, (*ALLOWED, r"^[0-9a-fA-F]+$", r"^[a-z0-9]+$", r"^[A-Z0-9]+$")),
 )
+# The symbols whose counts each class keeps.
+SYMBOLS = {"hexadecimal": "0123456789abcdefABCDEF", "one case": "0123456789abcdefghijklmnopqrstuvwxyz"}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Candidates that are no secrets: without a digit or without a letter, or placeholders.
-ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"(?i:example|x{6}|0{6}|123456|abcdef)", r"^[a-z]+([-_/=+][a-z0-9]{1,12})+$")
 
+CHUNK = 256
 
-def places(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
-    """Spans of the leftmost non-overlapping matches whose ``value_group`` has ``least`` characters or more."""
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each of some whole numbers ``join`` of all before it, 0 for the first.
+
+    An array that grows step by step is copied at each step, so steps are taken in
+    chunks, and over the chunks.
+    """
+
+    def steps(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.array(start), lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x))))
+
+    def chunked(xs: Column) -> Column:
+        last = F.greatest(F.call_function("div", F.size(xs) - 1, F.lit(CHUNK)).cast("int"), F.lit(0))
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(xs, k * CHUNK + 1, CHUNK))
+        return let(chunks, over)
+
+    def over(chunks: Column) -> Column:
+        starts = steps(F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: join(a, x))), F.lit(0))
+        each = F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), lambda c, s: F.slice(steps(c, s), 1, F.size(c)))
+        return F.flatten(each)
+
+    return let(values, chunked)
+
+
+def matches(text: Column, pattern: str, value_group: int = 0) -> Column:
+    """``start, end, own, value`` of the leftmost non-overlapping matches: places, text, and length of a group."""
     regex = F.lit(pattern)
-    gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, regex, F.lit(0))
     values = F.regexp_extract_all(text, regex, F.lit(value_group))
     steps = F.zip_with(
-        F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own"))),
+        F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("own"))),
         values,
         lambda s, v: F.struct(s["gap"].alias("gap"), s["own"].alias("own"), F.length(v).alias("value")),
     )
     # the last part has no match after it
     steps = F.filter(steps, lambda s: s["own"].isNotNull())
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["own"]).alias("at"),
-            F.when(
-                s["value"] >= least,
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + s["gap"]).alias("start"),
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + s["gap"] + s["own"]).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-    )
-    return F.when(text.rlike(pattern), walked["spans"]).otherwise(none)
+
+    def placed(steps: Column) -> Column:
+        before = running(F.transform(steps, lambda s: s["gap"] + F.length(s["own"])), lambda a, b: a + b)
+        return F.zip_with(
+            steps,
+            before,
+            lambda s, at: F.struct(
+                (at + s["gap"]).alias("start"), (at + s["gap"] + F.length(s["own"])).alias("end"), s["own"].alias("own"), s["value"].alias("value")
+            ),
+        )
+
+    none = F.array().cast("array<struct<start:int,end:int,own:string,value:int>>")
+    return F.when(text.rlike(pattern), let(steps, placed)).otherwise(none)
 
 
-def most_entropy(candidate: Column) -> Column:
-    """The greatest Shannon entropy, in bits, of ``WINDOW`` consecutive characters of ``candidate``."""
+def _span(m: Column, kind: int) -> Column:
+    return F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
+
+
+def places(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
+    """Spans of the leftmost non-overlapping matches whose ``value_group`` has ``least`` characters or more."""
+    kept = F.filter(matches(text, pattern, value_group), lambda m: m["value"] >= least)
+    return F.transform(kept, lambda m: _span(m, kind))
+
+
+def most_entropy(candidate: Column, symbols: str = ALPHABET) -> Column:
+    """The greatest Shannon entropy, in bits, of ``WINDOW`` consecutive characters of ``candidate``.
+
+    Windows that hold a placeholder whole are left out.
+    """
     chars = F.filter(
-        F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c)), lambda c: c > 0
+        F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(symbols), c)), lambda c: c > 0
     )
 
     def term(c: Column) -> Column:
@@ -90,8 +125,7 @@ def most_entropy(candidate: Column) -> Column:
             counts,
             lambda c, i: c + F.when(i + 1 == into, 1).otherwise(0) - F.when(i + 1 == out, 1).otherwise(0),
         )
-        full = x["nth"] >= WINDOW
-        best = F.when(full, F.least(acc["best"], total)).otherwise(acc["best"])
+        best = F.when((x["nth"] >= WINDOW) & ~x["held"], F.least(acc["best"], total)).otherwise(acc["best"])
         return F.struct(moved.alias("counts"), total.alias("total"), best.alias("best"))
 
     def pairs(chars: Column) -> Column:
@@ -101,11 +135,14 @@ def most_entropy(candidate: Column) -> Column:
                 c.alias("into"),
                 F.when(i >= WINDOW, F.element_at(chars, F.greatest(i - WINDOW + 1, F.lit(1)))).otherwise(0).alias("out"),
                 (i + 1).alias("nth"),
+                F.exists(holes, lambda h: (h["start"] > i - WINDOW) & (h["end"] <= i + 1)).alias("held"),
             ),
         )
 
+    holes = matches(candidate, PLACEHOLDER)
+
     start = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        F.array_repeat(F.lit(0), len(symbols)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(1e9).alias("best"),
     )
@@ -115,18 +152,15 @@ def most_entropy(candidate: Column) -> Column:
 
 
 def entropy_places(text: Column) -> Column:
-    """Spans of candidates with a window at or above its class's bits that no allow-list entry fits."""
+    """Spans of candidates with a window at or above its class's bits that no allow-list entry of the class fits."""
     found = []
-    for _, pattern, bits in CLASSES:
-        spans = places(text, pattern, KINDS.index("entropy"))
-        checked = F.transform(
-            spans, lambda s: F.struct(s.alias("span"), text.substr(s["start"] + 1, s["end"] - s["start"]).alias("own"))
-        )
-        allowed = F.lit("|".join(f"({p})" for p in ALLOWED))
-        checked = F.filter(checked, lambda c: ~F.regexp_like(c["own"], allowed))
-        least = F.lit(bits)
-        checked = F.filter(checked, lambda c: most_entropy(c["own"]) >= least)  # noqa: B023
-        found.append(F.transform(checked, lambda c: c["span"]))
+    for name, pattern, bits, allow in CLASSES:
+        allowed = F.lit("|".join(f"({p})" for p in allow))
+        kept = F.filter(matches(text, pattern), lambda m: ~F.regexp_like(m["own"], allowed))  # noqa: B023
+        folded = F.lower if name == "one case" else lambda own: own
+        symbols = SYMBOLS.get(name, ALPHABET)
+        kept = F.filter(kept, lambda m: most_entropy(folded(m["own"]), symbols) >= F.lit(bits))  # noqa: B023
+        found.append(F.transform(kept, lambda m: _span(m, KINDS.index("entropy"))))
     return F.array_distinct(F.concat(*found))
 
 
@@ -147,7 +181,11 @@ def written(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` for every row; null texts are empty."""
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` for every row, repeated rows and ids included.
+
+    Null texts are empty. Spans of different kinds may overlap, and a span that two
+    classes find is one.
+    """
     found = scan(docs.select("doc_id", "text"))
 
     def count(kind: int) -> Column:
@@ -164,19 +202,17 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``, overlapping spans once; ``n_chars`` follows if there."""
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        part = F.when(s["start"] >= acc["at"], F.concat(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.coalesce(part, F.lit(""))).alias("out")
-        )
-
     spans_name = free_name(docs, "_spans")
     found = scan(docs, free_name(docs, "_base"), spans_name)
-    walked = F.aggregate(spans_name, start, step)
-    rest = text.substr(walked["at"] + 1, F.length(text))
-    clean = found.withColumn("text", F.when(F.size(spans_name) > 0, F.concat(walked["out"], rest)).otherwise(text))
+    # how far earlier spans reach
+    reached = running(F.transform(spans_name, lambda s: s["end"]), F.greatest)
+
+    def part(s: Column, at: Column) -> Column:
+        return F.when(s["start"] >= at, F.concat(text.substr(at + 1, s["start"] - at), F.lit(mark))).otherwise("")
+
+    parts = F.array_join(F.zip_with(spans_name, reached, part), "")
+    rest = text.substr(F.array_max(F.transform(spans_name, lambda s: s["end"])) + 1, F.length(text))
+    clean = found.withColumn("text", F.when(F.size(spans_name) > 0, F.concat(parts, rest)).otherwise(text))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(docs.columns)

@@ -34,16 +34,15 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return table.withColumn("digest", F.sha2("rule", 256)).withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All ``suffix/prefix`` texts: every suffix of the host at a label, every prefix of the path in ``lengths``.
+def expressions(host: Column, path: Column, lengths: list[int], labels: int) -> Column:
+    """All ``suffix/prefix`` texts: suffixes of the host of at most ``labels`` labels, prefixes of the path in ``lengths``.
 
     Rules fit any leading part of a path, not whole segments only, so prefixes are
-    taken at the lengths that rules have.
+    taken at the lengths that rules have. A suffix of more labels than any rule has
+    fits none, however long a host is.
     """
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+    parts = F.slice(F.reverse(F.split(host, r"\.")), 1, labels)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.reverse(F.slice(parts, 1, i)), "."))
     fitting = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path))
     prefixes = F.transform(fitting, lambda n: path.substr(F.lit(1), n))
     return F.array_distinct(F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
@@ -60,13 +59,16 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     """
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    lengths = sorted({r[0] for r in rules.select(F.length("rule") - F.instr("rule", "/") + 1).distinct().collect()})
+    size = F.length("rule") - F.instr("rule", "/") + 1, F.size(F.split(F.split_part("rule", F.lit("/"), F.lit(1)), r"\."))
+    # at most as many lines as rules have different path lengths
+    found = rules.groupBy(size[0].alias("n")).agg(F.max(size[1]).alias("labels")).collect()
+    lengths, labels = sorted({r["n"] for r in found}), max((r["labels"] for r in found), default=0)
     if not lengths:
         return urls.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     candidates = (
         urls.select("host", "path")
         .distinct()
-        .select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), lengths)).alias("_text"))
+        .select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), lengths, labels)).alias("_text"))
         .withColumn("_digest", F.sha2("_text", 256))
         .withColumn("prefix", F.substring("_digest", 1, PREFIX_DIGITS))
         .drop("_text")
