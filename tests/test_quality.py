@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators import quality
 from tidemark.plans import clean, validation
-from tidemark.schemas import CLEAN, PLAN_TIERS
+from tidemark.schemas import CLEAN, PLAN_TIERS, Constraints, Reference
 
 
 def counts(df):
@@ -207,3 +207,28 @@ def test_stored_types(warehouse):
     w = warehouse(accounts=[{}], subscriptions=[{}], feature_usage=[{}], churn_events=[{}], support_tickets=[{}])
     for table, types in STAR_TYPES.items():
         assert dict(w.star[table].dtypes) == types, table
+
+
+def test_rows_stay_where_they_are_when_few_values_break_a_rule(spark, tmp_path, monkeypatch):
+    spark.range(200).selectExpr("if(id = 7, 8, id) AS id", "if(id = 3, 'nobody', 'a') AS a").write.parquet(str(tmp_path / "child"))
+    child, parent = spark.read.parquet(str(tmp_path / "child")), spark.createDataFrame([("a",)], "k string")
+    c = Constraints(key=("id",), not_null=("id",), references=(Reference("a", "p", "k"),))
+    tagged = quality.tag_violations(child, c, {"p": parent})
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    for few in (quality.FEW, 0):
+        monkeypatch.setattr(quality, "FEW", few)
+        tagged = quality.tag_violations(child, c, {"p": parent})
+        broken = {(r["id"], *r["violations"]) for r in tagged.where("size(violations) > 0").collect()}
+        assert broken == {(3, "a in p"), (8, "id unique")} and tagged.count() == 200
+
+
+def test_a_warehouse_bounds_what_a_scan_task_reads(spark, warehouse):
+    key = "spark.sql.files.maxPartitionBytes"
+    try:
+        for before, after in (("128MB", "16m"), ("1m", "1m")):
+            spark.conf.set(key, before)
+            warehouse()
+            assert spark.conf.get(key) == after
+    finally:
+        spark.conf.unset(key)

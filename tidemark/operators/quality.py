@@ -166,37 +166,43 @@ def summed(findings: DataFrame, rule: str) -> DataFrame:
 
 # A value's rows are dealt over so many tasks when they are tagged.
 SALTS = 16
+# Values of one rule (some 100 bytes each in memory) that are sent to every task.
+FEW = 200_000
 
 
-def tag_violations(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame]) -> DataFrame:
+def tag_violations(
+    df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame], folder: str | None = None
+) -> DataFrame:
     """Every row with ``violations``, the names of the rules it breaks.
 
-    Rows meet the repeated and the orphaned values. One value may be that of a
-    third of all rows, so rows carry a salt (a hash of the whole row) and each
-    value comes once per salt.
+    Rows meet the repeated and the orphaned values. These are written and counted
+    first: up to ``FEW`` are sent to the rows, which stay where they are. More of them
+    meet the rows in a shuffle; one value may be that of a third of all rows, so rows
+    carry a salt (a hash of the whole row) and each value comes once per salt.
     """
     failed = [F.expr(f"if(coalesce({p}, true), NULL, '{name}')") for name, p in constraints.row_rules().items()]
     tagged = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     for i, (name, cols) in enumerate(constraints.key_rules().items()):
         match = [f"_k{i}_{j}" for j in range(len(cols))]
-        repeated = _salted(check_unique(df, cols).select(*[F.col(c).alias(m) for c, m in zip(cols, match)], F.lit(True).alias(f"_dup{i}")))
+        values = check_unique(df, cols).select(*[F.col(c).alias(m) for c, m in zip(cols, match)], F.lit(True).alias(f"_dup{i}"))
         on = reduce(lambda a, b: a & b, [comparable(df, c).eqNullSafe(F.col(m)) for c, m in zip(cols, match)])
-        tagged = tagged.join(repeated, on & (F.col("_salt") == F.col("_of")), "left").drop(*match, "_of")
+        tagged = _with_values(tagged, materialize(values, "repeated", folder), on).drop(*match, "_of")
         failed.append(F.when(F.col(f"_dup{i}"), F.lit(name)))
     for i, ref in enumerate(constraints.references):
-        orphans = _salted(
-            check_fk(df, parents[ref.parent], ref.column, ref.parent_column).select(
-                F.col(ref.column).alias(f"_f{i}"), F.lit(True).alias(f"_orphan{i}")
-            )
+        values = check_fk(df, parents[ref.parent], ref.column, ref.parent_column).select(
+            F.col(ref.column).alias(f"_f{i}"), F.lit(True).alias(f"_orphan{i}")
         )
-        on = (comparable(df, ref.column) == F.col(f"_f{i}")) & (F.col("_salt") == F.col("_of"))
-        tagged = tagged.join(orphans, on, "left").drop(f"_f{i}", "_of")
+        on = comparable(df, ref.column) == F.col(f"_f{i}")
+        tagged = _with_values(tagged, materialize(values, "orphans", folder), on).drop(f"_f{i}", "_of")
         failed.append(F.when(F.col(f"_orphan{i}"), F.lit(f"{ref.column} in {ref.parent}")))
     return tagged.select(*df.columns, F.array_compact(F.array(*failed)).alias("violations"))
 
 
-def _salted(values: DataFrame) -> DataFrame:
-    return values.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _with_values(rows: DataFrame, values: DataFrame, on: Column) -> DataFrame:
+    if values.count() <= FEW:
+        return rows.join(F.broadcast(values), on, "left")
+    salted = values.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, on & (F.col("_salt") == F.col("_of")), "left")
 
 
 def apply_rules(
@@ -221,6 +227,6 @@ def apply_rules(
         if broken:
             raise QualityError(table, {r["rule"]: r["violations"] for r in broken})
         return df, df.where("false").withColumn("violations", F.array().cast("array<string>"))
-    tagged = materialize(tag_violations(df, constraints, parents), f"tagged-{table}", folder)
+    tagged = materialize(tag_violations(df, constraints, parents, folder), f"tagged-{table}", folder)
     clean = F.size("violations") == 0
     return tagged.where(clean).drop("violations"), tagged.where(~clean)

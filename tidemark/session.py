@@ -48,6 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _SCRATCH[app]
 
 
+# The most that a task reads of stored files. What a scan sorts or counts before a shuffle grows with what
+# it read, so this bounds a task's memory at any table size; the usual 128 MB are millions of narrow rows.
+SCAN_MB = 16
+
+
+def bound_scans(spark: SparkSession) -> None:
+    """Let a task of this session read ``SCAN_MB`` of files at most; a lower setting stays."""
+    key = "spark.sql.files.maxPartitionBytes"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > SCAN_MB << 20:
+        spark.conf.set(key, f"{SCAN_MB}m")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of stored files, wherever Spark keeps them."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
