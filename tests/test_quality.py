@@ -232,3 +232,15 @@ def test_a_warehouse_bounds_what_a_scan_task_reads(spark, warehouse):
             assert spark.conf.get(key) == after
     finally:
         spark.conf.unset(key)
+
+
+def test_an_audit_shuffles_every_value_once(spark):
+    child = spark.createDataFrame([(1, 1, "x"), (2, 1, "Y"), (2, 9, "z"), (None, None, "y")], "id int, a int, b string")
+    numbers, texts = spark.createDataFrame([(1,), (2,)], "k bigint"), spark.createDataFrame([("y",), ("X",)], "k string")
+    references = (Reference("a", "n", "k"), Reference("id", "n", "k"), Reference("b", "t", "k"))
+    c = Constraints(key=("id",), unique=(("id", "a"),), not_null=("a",), references=references)
+    found = quality.audit_tables({"t": (child, c)}, {"n": numbers, "t": texts})
+    assert counts(found) == {"id unique": 3, "id + a unique": 1, "a is set": 1, "a in n": 1, "b in t": 1}
+    assert {r["rule"] for r in found.collect()} > {"id in n"} and found.count() == 6
+    plan = found.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(domain#") <= 2  # of values, then of their sums

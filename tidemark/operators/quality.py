@@ -105,59 +105,93 @@ def audit_tables(
 ) -> DataFrame:
     """Constraints of some tables: lines (table_name, rule, violations), zero where a rule holds.
 
-    Every table is scanned once. A row is stacked into one line per key and per
-    reference, with the value, and one per row rule that it breaks; lines are
-    counted by value, so a value that fills much of a table is counted before it is
-    shuffled. What is left of all tables then meets the keys of all parents in one join.
+    Every table is scanned once. A row gives one line per key and per reference, with
+    the compared value, and one without a value per row rule that it breaks. Lines are
+    counted by domain and value: a key or row rule is a domain of its own, and all
+    references to a column share one, in which the parent's rows have lines too. So a
+    single shuffle, after a count in every task, brings all that bears on a value together.
     """
-    counted, rules, wanted = [], [], {}
+    rules: list[tuple[str, str]] = []
+    domains: list[list[int]] = []  # the rules of each domain
+    of: dict[tuple[str, str], int] = {}
+    lines = []
+
+    def enter(table: str, name: str, domain: int | None = None) -> tuple[int, int]:
+        if domain is None:
+            domain = len(domains)
+            domains.append([])
+        domains[domain].append(len(rules))
+        rules.append((table, name))
+        return domain, len(domains[domain]) - 1
+
+    refs = [(df, ref) for df, c in tables.values() for ref in (c.references if references else ())]
+    numeric = {}
+    for df, ref in refs:
+        both = _is_whole(df, ref.column) and _is_whole(parents[ref.parent], ref.parent_column)
+        numeric[ref.parent, ref.parent_column] = both and numeric.get((ref.parent, ref.parent_column), True)
     for table, (df, c) in tables.items():
-        parts, kinds = [], []
-
-        def line(name: str, value: Column, kind: str, parent: str):
-            parts.append(F.struct(F.lit(len(kinds)).alias("rule"), value.alias("value")))
-            kinds.append((name, kind, parent))
-
+        parts = []
         for name, predicate in (c.row_rules() if rows else {}).items():
-            line(name, F.lit(None).cast("string"), "row", "")
-            parts[-1] = F.when(~F.coalesce(F.expr(predicate), F.lit(True)), parts[-1])
+            parts.append(F.when(~F.coalesce(F.expr(predicate), F.lit(True)), _line(*enter(table, name))))
         for name, cols in (c.key_rules() if keys else {}).items():
-            line(name, _text_key(df, cols), "key", "")
+            whole = len(cols) == 1 and _is_whole(df, cols[0])
+            parts.append(_line(*enter(table, name), **_value(df, cols, whole)))
         for ref in c.references if references else ():
-            of = f"{ref.parent}.{ref.parent_column}"
-            line(f"{ref.column} in {ref.parent}", _text_key(df, [ref.column]), "reference", of)
-            wanted[of] = (ref.parent, ref.parent_column)
-        if not parts:
-            continue
-        names = F.array(*[F.struct(*map(F.lit, (table, n, k)), F.lit(p)) for n, k, p in kinds])
-        named = F.element_at(names, F.col("rule") + 1)
-        lines = df.select(F.inline(F.array_compact(F.array(*parts)))).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
-        columns = ("table_name", "rule", "kind", "parent")
-        counted.append(lines.select(*[named[f"col{i + 1}"].alias(c) for i, c in enumerate(columns)], "value", "n"))
-        rules += [(table, n) for n, _, _ in kinds]
-    lines = reduce(DataFrame.unionByName, counted)
-    # of a key only values that stand on several rows, or are incomplete, go on
-    lines = lines.where((F.col("kind") != "key") | F.col("value").isNull() | (F.col("n") > 1))
-    known = [parents[t].select(F.lit(of).alias("parent"), _text_key(parents[t], [c]).alias("value")) for of, (t, c) in wanted.items()]
-    if known:
-        found = reduce(DataFrame.unionByName, known).distinct().withColumn("_found", F.lit(True))
-        lines = lines.join(found, ["parent", "value"], "left")
-        lines = lines.where((F.col("kind") != "reference") | (F.col("value").isNotNull() & F.col("_found").isNull()))
-    broken = lines
-    every = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("rule"), F.lit(0).cast("bigint").alias("n")) for t, r in rules])
-    none = lines.sparkSession.range(1).select(F.inline(every))
-    return (
-        broken.select("table_name", "rule", "n")
-        .unionByName(none)
-        .groupBy("table_name", "rule")
-        .agg(F.sum("n").alias("violations"))
+            to = (ref.parent, ref.parent_column)
+            domain, slot = enter(table, f"{ref.column} in {ref.parent}", of.get(to))
+            of[to] = domain
+            parts.append(_line(domain, slot, **_value(df, [ref.column], numeric[to])))
+        if parts:
+            lines.append(df.select(F.inline(F.array_compact(F.array(*parts)))))
+    for (parent, column), domain in of.items():
+        key = _value(parents[parent], [column], numeric[parent, column])
+        lines.append(parents[parent].select(F.inline(F.array(_line(domain, -1, **key)))))
+    slots = range(max(map(len, domains)))
+    counts = [F.count_if(F.col("slot") == s).alias(f"n{s}") for s in slots]
+    values = reduce(DataFrame.unionByName, lines).groupBy("domain", "number", "text").agg(
+        F.max(F.col("slot") == -1).alias("found"), *counts
     )
+    missing = F.col("number").isNull() & F.col("text").isNull()
+    repeated = missing | (F.col("n0") > 1)
+    # no reference at all leaves no domain of one
+    orphaned = F.col("domain").isin(*of.values()) if of else F.lit(False)
+    broken = values.where(F.when(orphaned, ~missing & ~F.col("found")).otherwise(repeated))
+    sums = broken.groupBy("domain").agg(*[F.sum(f"n{s}").alias(f"n{s}") for s in slots])
+    by_slot = F.array(*[F.struct(F.lit(s).alias("slot"), F.col(f"n{s}").alias("n")) for s in slots])
+    rule = F.element_at(F.element_at(F.array(*[F.array(*map(F.lit, d)) for d in domains]), F.col("domain") + 1), F.col("slot") + 1)
+    width = F.element_at(F.array(*[F.lit(len(d)) for d in domains]), F.col("domain") + 1)
+    found = sums.select("domain", F.inline(by_slot)).where(F.col("slot") < width).select(rule.alias("rule"), "n")
+    none = values.sparkSession.range(len(rules)).select(F.col("id").cast("int").alias("rule"), F.lit(0).cast("bigint").alias("n"))
+    totals = found.unionByName(none).groupBy("rule").agg(F.sum("n").alias("violations"))
+    names = F.element_at(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(r).alias("r")) for t, r in rules]), F.col("rule") + 1)
+    return totals.select(names["t"].alias("table_name"), names["r"].alias("rule"), "violations")
+
+
+def _line(domain: int, slot: int, number: Column | None = None, text: Column | None = None) -> Column:
+    values = ((number, "bigint"), (text, "string"))
+    return F.struct(
+        F.lit(domain).alias("domain"),
+        F.lit(slot).alias("slot"),
+        *[(F.lit(None) if v is None else v).cast(kind).alias(name) for name, (v, kind) in zip(("number", "text"), values)],
+    )
+
+
+def _is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _value(df: DataFrame, cols: Sequence[str], whole: bool) -> dict[str, Column]:
+    return {"number": F.col(cols[0])} if whole else {"text": _text_key(df, cols)}
 
 
 def _text_key(df: DataFrame, cols: Sequence[str]) -> Column:
     """The compared value of one or more columns as one text; NULL if any is NULL."""
     parts = [comparable(df, c).cast("string") for c in cols]
-    return parts[0] if len(parts) == 1 else F.when(F.forall(F.array(*parts), lambda p: p.isNotNull()), F.to_json(F.array(*parts)))
+    if len(parts) == 1:
+        return parts[0]
+    if all(_is_whole(df, c) for c in cols):
+        return F.concat(parts[0], *[p for part in parts[1:] for p in (F.lit(" "), part)])
+    return F.when(F.forall(F.array(*parts), lambda p: p.isNotNull()), F.to_json(F.array(*parts)))
 
 
 def summed(findings: DataFrame, rule: str) -> DataFrame:
