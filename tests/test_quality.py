@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tidemark.operators import quality
-from tidemark.plans import clean, validation
+from tidemark.plans import clean, facts, validation
 from tidemark.schemas import CLEAN, PLAN_TIERS, Constraints, Reference
 
 
@@ -244,3 +244,17 @@ def test_an_audit_shuffles_every_value_once(spark):
     assert {r["rule"] for r in found.collect()} > {"id in n"} and found.count() == 6
     plan = found.select("*")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning(domain#") <= 2  # of values, then of their sums
+
+
+def test_quarantine_counts_up_usage_months_once(warehouse, monkeypatch):
+    seen = []
+    of = facts.owned_months
+    monkeypatch.setattr(facts, "owned_months", lambda *a: seen.append(of(*a)) or seen[-1])
+    w = warehouse(
+        policy="quarantine",
+        accounts=[{}],
+        subscriptions=[{"start_date": "2023-02-01"}],
+        feature_usage=[{"usage_id": "U-1", "usage_date": "2023-01-05"}, {"usage_id": "U-2", "usage_date": "2023-02-05"}],
+    )
+    assert w.star["fact_subscription_usage"].count() == 1 and len(seen) == 1
+    assert w.rejected["star", "fact_subscription_usage"].count() == 1

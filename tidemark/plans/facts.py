@@ -161,7 +161,7 @@ def owners(bridge: DataFrame) -> DataFrame:
     )
 
 
-def _owned_months(usage: DataFrame, bridge: DataFrame) -> DataFrame:
+def owned_months(usage: DataFrame, bridge: DataFrame) -> DataFrame:
     """Usage months of subscriptions of known accounts."""
     return monthly_feature(usage).join(owners(bridge), "subscription_id")
 
@@ -174,24 +174,28 @@ def usage_fact(months: DataFrame, tickets: DataFrame) -> DataFrame:
     return as_typed(combined.withColumn("error_rate", rate), "fact_subscription_usage")
 
 
-def build_fact_subscription_usage(
-    usage: DataFrame, tickets: DataFrame, bridge: DataFrame, calendar: DataFrame | None = None
-) -> DataFrame:
+def build_fact_subscription_usage(usage: DataFrame, tickets: DataFrame, bridge: DataFrame) -> DataFrame:
     """Usage months of known subscriptions with the ticket figures of their account.
 
     Months without tickets keep NULL ticket figures. The join to the bridge and
     both windows need the same partitioning, by subscription id: one shuffle
-    serves all three. With ``calendar``, months it lacks are left out before the
-    windows, so a month that is refused takes no part in its neighbours' trend.
+    serves all three.
+    """
+    return usage_fact(with_engagement_trend(owned_months(usage, bridge)), ticket_monthly(tickets))
+
+
+def months_within(months: DataFrame, tickets: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Fact rows of the owned months that ``calendar`` has.
+
+    Others are left out before the windows, so a month that is refused takes no
+    part in its neighbours' trend.
     """
-    months = _owned_months(usage, bridge)
-    if calendar is not None:
-        months = months.join(calendar.select("date_key"), "date_key", "left_semi")
-    return usage_fact(with_engagement_trend(months), ticket_monthly(tickets))
+    kept = months.join(calendar.select("date_key"), "date_key", "left_semi")
+    return usage_fact(with_engagement_trend(kept), ticket_monthly(tickets))
 
 
-def months_outside(usage: DataFrame, tickets: DataFrame, bridge: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The usage months that ``calendar`` lacks, as fact rows without a trend."""
-    months = _owned_months(usage, bridge).join(calendar.select("date_key"), "date_key", "left_anti")
+def months_outside(months: DataFrame, tickets: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The owned months that ``calendar`` lacks, as fact rows without a trend."""
+    months = months.join(calendar.select("date_key"), "date_key", "left_anti")
     none = {c: F.lit(None).cast("int") for c in ("mom_active_days_delta", "consecutive_low_engagement_months")}
     return usage_fact(months.withColumns(none), ticket_monthly(tickets))

@@ -75,6 +75,7 @@ class Warehouse:
         self.star = Layer(STAR, self._load_star)
         self.rejected: dict[tuple[str, str], DataFrame] = {}
         self._bridge: DataFrame | None = None
+        self._months: DataFrame | None = None
 
     def load_all(self) -> Warehouse:
         """Load everything, each table after those it refers to."""
@@ -126,15 +127,17 @@ class Warehouse:
             "fact_churn_events": lambda: facts.build_fact_churn_events(
                 clean["churn_events"], star["dim_account"], star["dim_churn_reason"], self.keys
             ),
-            "fact_subscription_usage": lambda: facts.build_fact_subscription_usage(
-                clean["feature_usage"], clean["support_tickets"], self.bridge(), self._calendar()
-            ),
+            "fact_subscription_usage": self._usage_fact,
         }
         return self._store("star", name, build[name]())
 
-    def _calendar(self) -> DataFrame | None:
-        """Months outside are taken out before the trend where rejects are kept apart."""
-        return self.star["dim_date"] if self.policy == "quarantine" else None
+    def _usage_fact(self) -> DataFrame:
+        """Where rejects are kept apart, the months are stored: those in the calendar go on to the trend, the others are refused."""
+        usage, tickets = self.clean["feature_usage"], self.clean["support_tickets"]
+        if self.policy != "quarantine":
+            return facts.build_fact_subscription_usage(usage, tickets, self.bridge())
+        self._months = materialize(facts.owned_months(usage, self.bridge()), "months", f"{self.root}/stage")
+        return facts.months_within(self._months, tickets, self.star["dim_date"])
 
     def _store(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         constraints = LAYERS[layer][name]
@@ -150,9 +153,7 @@ class Warehouse:
 
     def _keep_rejects(self, layer: str, name: str, bad: DataFrame) -> DataFrame:
         if name == "fact_subscription_usage":
-            outside = facts.months_outside(
-                self.clean["feature_usage"], self.clean["support_tickets"], self.bridge(), self.star["dim_date"]
-            )
+            outside = facts.months_outside(self._months, self.clean["support_tickets"], self.star["dim_date"])
             bad = bad.unionByName(outside.withColumn("violations", F.array(F.lit("date_key in dim_date"))))
         path = f"{self.root}/rejected/{layer}/{name}"
         bad.write.mode("overwrite").parquet(path)
