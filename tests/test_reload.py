@@ -132,6 +132,22 @@ def test_a_load_that_broke_is_made_good_by_the_next(loaded, monkeypatch):
     loaded(day)
 
 
+def test_usage_rows_are_written_once_a_load(loaded, monkeypatch):
+    from tidemark.plans import reload
+
+    put, replaced = reload.replace_partitions, []
+    monkeypatch.setattr(reload, "replace_partitions", lambda rows, path, *rest: (replaced.append(path), put(rows, path, *rest)))
+    versions = set()
+    for tables in (FIRST, FIRST, changed(feature_usage=FIRST["feature_usage"][1:])):
+        loaded(tables)
+        files = loaded.store.usage().inputFiles()
+        versions |= {re.search(r"/usage/([^/]*)/", f).group(1) for f in files}
+    # the extract itself becomes the table; an unchanged one does not
+    assert len(versions) == 2 and not [p for p in replaced if p.endswith("/usage")]
+    text = loaded.store.usage_months().select("subscription_id", "active_days").collect()
+    assert sorted(map(tuple, text)) == sorted([("s-1", 1), ("s-1", 2), ("s-2", 1), ("s-2", 1), ("s-3", 1), ("s-9", 1)])
+
+
 def test_rows_without_a_date_are_refused(loaded):
     with pytest.raises(ValueError, match="without a date"):
         loaded(changed(feature_usage=[usage(1, "S-1", "soon")]))

@@ -1,12 +1,13 @@
 """Further loads of the usage fact: only months that changed are read and replaced.
 
-Clean usage, the monthly states and the fact are stored by month. A load compares
+Clean usage, its monthly figures and the fact are stored by month. A load writes its
+usage extract by month once, as the version that counts when it is through, and compares
 each month's rows with what the last load saw, by count and two order-free hashes.
-Months with new, changed or withdrawn rows are touched: their states are built from
+Months with new, changed or withdrawn rows are touched: their figures are built from
 their rows alone. A fact row also depends on earlier months of its subscription
 (change and running count), on the month's tickets of its account and on the
 subscription itself; months in which such rows change are replaced as well, from the
-states, not from usage rows.
+figures, not from usage rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from ..functions import month_key
 from ..schemas import LOW_ENGAGEMENT_DAYS, STAR_TYPES
 from ..session import complete_folders, delete_folder, discard, folder_exists, materialize, replace_partitions
-from . import facts, states
+from ..sources.versions import Versions
+from . import facts
 
 MONTH = "date_key"
 Marks = Mapping[int, tuple[int, int, int]]
@@ -30,6 +32,11 @@ _USAGE = (
     "usage_id string, subscription_id string, usage_date date, feature_name string, usage_count int, "
     f"usage_duration_secs int, error_count int, is_beta_feature boolean, {MONTH} int"
 )
+_FIGURES = (
+    "subscription_id string, active_days int, feature_adoption_count bigint, total_usage_count bigint, "
+    "total_usage_duration_secs bigint, total_error_count bigint, beta_feature_usage_count bigint, "
+    f"avg_usage_duration_secs decimal(20,2), {MONTH} int"
+)
 _MARKS = f"source string, {MONTH} int, n bigint, total decimal(38,0), mixed bigint"
 _OWNERS = "subscription_id string, account_id string, subscription_key bigint, account_key bigint, is_churned boolean"
 
@@ -38,10 +45,14 @@ def month_marks(rows: DataFrame) -> dict[int, tuple[int, int, int]]:
     """Count, sum and exclusive or of row hashes of each month: one line per month, gathered by the driver."""
     columns = [c for c in rows.columns if c != MONTH]
     one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    # the sum of a hash in two halves: whole numbers of 64 bits hold them for some four billion rows
     marks = rows.groupBy(MONTH).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(one.cast("decimal(20,0)")).alias("total"), F.bit_xor(two).alias("mixed")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.shiftright(one, 32)).alias("high"),
+        F.sum(one.bitwiseAND(0xFFFFFFFF)).alias("low"),
+        F.bit_xor(two).alias("mixed"),
     )
-    return {r[MONTH]: (r["n"], int(r["total"]), r["mixed"]) for r in marks.collect()}
+    return {r[MONTH]: (r["n"], (r["high"] << 32) + r["low"], r["mixed"]) for r in marks.collect()}
 
 
 def changed_months(before: Marks, after: Marks) -> set[int]:
@@ -59,6 +70,7 @@ class MonthlyUsage:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._extracts = Versions(spark, f"{self.root}/usage")
 
     # ---- stored tables
 
@@ -87,23 +99,25 @@ class MonthlyUsage:
         return self._usage_rows().where(F.col(MONTH).isin(sorted(months)))
 
     def _usage_rows(self) -> DataFrame:
-        if not folder_exists(self.spark, self._path("usage")):
+        folder = self._extracts.current()
+        if folder is None:
             raise ValueError(f"nothing has been loaded into {self.root}")
-        return self.spark.read.schema(_USAGE).parquet(self._path("usage"))
+        return self.spark.read.schema(_USAGE).parquet(folder)
 
-    def usage_states(self) -> DataFrame:
-        return self._read("usage_state", states.USAGE_SCHEMA)
+    def usage_months(self) -> DataFrame:
+        """Usage figures of every subscription and month, known accounts or not."""
+        return self._read("usage_month", _FIGURES)
 
     def _marks(self) -> dict[str, dict[int, tuple[int, int, int]]]:
         """By source, what the last load saw of each month."""
         marks: dict[str, dict] = {"usage": {}, "tickets": {}}
-        for source, month, *mark in self._read("marks", _MARKS, False).collect():
+        for source, month, *mark in self._read("month_marks", _MARKS, False).collect():
             marks[source][month] = (mark[0], int(mark[1]), mark[2])
         return marks
 
     def _mark(self, marks: Mapping[str, Marks]) -> None:
         rows = [(s, m, n, Decimal(total), mixed) for s, of in marks.items() for m, (n, total, mixed) in of.items()]
-        self.spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("overwrite").parquet(self._path("marks"))
+        self.spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("overwrite").parquet(self._path("month_marks"))
 
     # ---- loads
 
@@ -121,37 +135,41 @@ class MonthlyUsage:
         def of(rows: DataFrame, months: Iterable[int]) -> DataFrame:
             return rows.where(F.col(MONTH).isin(sorted(months)))
 
-        fresh = materialize(states.usage_state(of(extract, touched["usage"])), "usage-state")
-        now = fresh.unionByName(self.usage_states().where(~F.col(MONTH).isin(sorted(touched["usage"]))))
-        replaced = touched["usage"] | touched["tickets"] | self._following(now, fresh, owner_rows, touched["usage"])
+        fresh = materialize(facts.monthly_feature(of(extract, touched["usage"])), "usage-month")
+        now = fresh.unionByName(self.usage_months().where(~F.col(MONTH).isin(sorted(touched["usage"]))))
+        replaced = touched["usage"] | touched["tickets"]
+        if not replaced >= set(seen["usage"]):  # a first load replaces all months there are
+            replaced |= self._following(now, fresh, owner_rows, touched["usage"])
         if replaced:
             self._mark({name: {m: v for m, v in before[name].items() if m not in replaced} for name in seen})
             rows = materialize(self._fact_rows(now, owner_rows, of(ticket_rows, replaced), replaced), "usage-fact")
             replace_partitions(rows, self._path("fact"), MONTH, replaced)
             discard(rows)
             if touched["usage"]:
-                replace_partitions(fresh, self._path("usage_state"), MONTH, touched["usage"])
-                replace_partitions(of(extract, touched["usage"]), self._path("usage"), MONTH, touched["usage"])
+                replace_partitions(fresh, self._path("usage_month"), MONTH, touched["usage"])
+        # months that are not touched hold the same rows in both versions
+        if touched["usage"] or self._extracts.current() is None:
+            self._extracts.switch(extract._folder)
+        self._extracts.clear()
         owner_rows.write.mode("overwrite").parquet(self._path("owners"))
         if replaced:
             self._mark(seen)
-        discard(extract, ticket_rows, owner_rows, fresh)
+        discard(ticket_rows, owner_rows, fresh)
         return {"read": sorted(touched["usage"]), "replaced": sorted(replaced)}
 
     def _by_month(self, usage: DataFrame) -> DataFrame:
         """The extract with its months, stored by month once: two passes read it, the second only some months."""
-        path = self._path("extract")
+        path = self._extracts.new()
         rows = usage.withColumn(MONTH, month_key(F.col("usage_date"))).hint("rebalance", MONTH)
-        rows.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+        rows.write.partitionBy(MONTH).parquet(path)
         stored = self.spark.read.schema(_USAGE).parquet(path)
         stored._folder = path
         return stored
 
     def _following(self, now: DataFrame, fresh: DataFrame, owners: DataFrame, touched: set[int]) -> set[int]:
         """Months in which a subscription has rows from its first changed month on, or any if its owner changed."""
-        days = states.active_days()
-        old = self.usage_states().where(F.col(MONTH).isin(sorted(touched)))
-        old, new = (df.select("subscription_id", MONTH, days.alias(name)) for df, name in ((old, "_old"), (fresh, "_new")))
+        old = self.usage_months().where(F.col(MONTH).isin(sorted(touched)))
+        old, new = (df.select("subscription_id", MONTH, F.col("active_days").alias(name)) for df, name in ((old, "_old"), (fresh, "_new")))
         moved = old.join(new, ["subscription_id", MONTH], "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
         first = moved.groupBy("subscription_id").agg(F.min(MONTH).alias("_from"))
         had = self._read("owners", _OWNERS, False)
@@ -168,11 +186,11 @@ class MonthlyUsage:
         """Fact rows of ``months``. Earlier ones enter by one line per subscription: its last active days, its low months."""
         start = min(months)
         days, low = F.col("active_days"), F.col("active_days") < LOW_ENGAGEMENT_DAYS
-        known = now.select("subscription_id", MONTH, states.active_days().alias("active_days")).where(F.col(MONTH) < start)
+        known = now.select("subscription_id", MONTH, "active_days").where(F.col(MONTH) < start)
         past = known.groupBy("subscription_id").agg(
             F.max_by("active_days", MONTH).alias("_last"), F.count_if(low).alias("_low")
         )
-        recent = states.finish_usage(now.where(F.col(MONTH) >= start)).join(owners, "subscription_id")
+        recent = now.where(F.col(MONTH) >= start).join(owners, "subscription_id")
         per_subscription = W.partitionBy("subscription_id").orderBy(MONTH)
         so_far = per_subscription.rowsBetween(W.unboundedPreceding, W.currentRow)
         trend = recent.join(past, "subscription_id", "left").withColumns(

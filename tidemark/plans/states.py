@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import round_ratio
 from .facts import per_feature
 
-USAGE_SCHEMA = (
-    "subscription_id string, days int, features array<string>, uses bigint, seconds bigint, timed_rows bigint, "
-    "errors bigint, beta_rows bigint, date_key int"
-)
 _USAGE_SUMS = ("uses", "seconds", "timed_rows", "errors", "beta_rows")
 _TICKET_SUMS = ("opened", "unresolved", "hours", "closed", "score", "scored")
 
