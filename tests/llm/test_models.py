@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from hashlib import sha256
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, orchard, toxicity
+from tidemark.llm import divergence, hashing, orchard, toxicity
 
 # ---- toxicity -----------------------------------------------------------------
 
@@ -234,3 +235,22 @@ def test_long_texts_are_counted_whole(spark, monkeypatch):
     table = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
     for least in (1, 2, 3):
         assert sorted(tuple(r) for r in divergence.audit(table, least).collect()) == plain_audit(rows, least)
+
+
+def test_a_block_of_terms_takes_a_bounded_amount_of_memory(monkeypatch):
+    monkeypatch.setattr(hashing, "_POWERS", {})
+    texts = [" ".join(f"w{n}x{m}" for m in range(1000)).replace("0", "o") for n in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 1200), pa.array(["s"] * 1200), pa.array(texts)], ["lang", "source", "text"])
+    tracemalloc.start()
+    found = sum(len(words.digest) for words, _, _ in divergence._words([batch], (1 << 64) - 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(len(re.findall("[a-z]+", t)) for t in texts) and peak < 120 << 20
+
+
+def test_counts_are_handed_on_in_small_batches(monkeypatch):
+    monkeypatch.setattr(divergence, "HANDED", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8))], ["n"])
+    pieces = list(divergence._handed(batch))
+    assert [p.num_rows for p in pieces] == [3, 3, 2] and pa.Table.from_batches(pieces).column(0).to_pylist() == list(range(8))
+    assert [p.num_rows for p in divergence._handed(batch.slice(0, 0))] == [0]

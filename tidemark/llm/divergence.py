@@ -37,7 +37,8 @@ from .common import apart, raw
 from .hashing import span_hashes
 
 HELD = 1 << 20  # counts a task holds before it hands them on
-PART = 1 << 22  # bytes of text that are read at once
+PART = 1 << 20  # bytes of text that are read at once; hashing them takes some hundred bytes of memory for each
+HANDED = 1 << 16  # counts in one batch that a task hands on
 BITS = 25  # of a digest that choose its place in the bitmap: 4 MB
 TILE = 256
 CELLS = 1 << 20
@@ -145,6 +146,12 @@ class _Counts:
         return self.rows > HELD // 2
 
 
+def _handed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces, so that the executor does not hold it whole beside the task."""
+    for start in range(0, max(batch.num_rows, 1), HANDED):
+        yield batch.slice(start, HANDED)
+
+
 def _named(names: list[str], codes: np.ndarray) -> pa.Array:
     return pa.array(names, pa.string()).take(pa.array(codes))
 
@@ -177,8 +184,8 @@ def document_counts(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
             seen = np.union1d(seen, last) if goes_on and len(groups) == 1 else last
             counts.add(lang[owner], found[code], np.ones(len(code), np.int64))
             if counts.full():
-                yield flush()
-        yield flush()
+                yield from _handed(flush())
+        yield from _handed(flush())
 
     return _read(docs).mapInArrow(run, "lang string, digest long, docs long")
 
@@ -232,13 +239,13 @@ def source_counts(docs: DataFrame, bitmap: np.ndarray, digest_bits: int = 64) ->
             new = [(d, w) for d, r in zip(found.tolist(), rows[first].tolist(), strict=True) if spelled.get(d) != (w := words.word(r))]
             new += {(int(words.digest[r]), words.word(r)) for r in other.tolist()}
             if new:
-                yield spell(*map(list, zip(*new, strict=True)))
+                yield from _handed(spell(*map(list, zip(*new, strict=True))))
                 spelled.update(new)
                 if len(spelled) > HELD:
                     spelled.clear()
             if counts.full():
-                yield flush()
-        yield flush()
+                yield from _handed(flush())
+        yield from _handed(flush())
 
     return _read(docs).mapInArrow(run, "lang string, source string, digest long, n long, term string")
 
@@ -274,8 +281,8 @@ def text_counts(docs: DataFrame, bitmap: np.ndarray, digest_bits: int = 64) -> D
             if owner != len(groups) - 1:
                 seen = set()
             if len(n) > HELD // 8:
-                yield flush()
-        yield flush()
+                yield from _handed(flush())
+        yield from _handed(flush())
 
     return _read(docs).mapInArrow(run, "lang string, source string, digest long, split string, n long, docs long")
 
