@@ -324,3 +324,18 @@ def test_equal_sides_of_different_anchors_are_no_repeat(spark, tmp_path, monkeyp
     want = expected_bytes(data)
     assert sorted(n[2] for n in want) == [0] * 5 + [428, 428]
     assert rows(suffixes.remove(spark.read.parquet(str(tmp_path / "sides")))) == want
+
+
+def test_passages_go_by_their_bytes_not_their_words(spark, tmp_path):
+    """Passages of over 50 words stay under 400 bytes, in every text; longer ones go from all, the first included."""
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n))
+    short, long = words(56), words(58)
+    assert (len(short), len(long)) == (391, 405)
+    planted = [[short]] * 3 + [[long]] * 3 + [[short, long], []]
+    data = [(n, " ".join(x for p in [*passages, ""] for x in (words(40), p) if x)) for n, passages in enumerate(planted)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "planted"))
+    want = expected_bytes(data)
+    removed = {n[0]: n[2] for n in want}
+    assert all((removed[n] >= 405) == (long in passages) and (removed[n] == 0) == (long not in passages) for n, passages in enumerate(planted))
+    assert rows(suffixes.remove(spark.read.parquet(str(tmp_path / "planted")))) == want
