@@ -223,6 +223,19 @@ def test_rows_stay_where_they_are_when_few_values_break_a_rule(spark, tmp_path,
         assert broken == {(3, "a in p"), (8, "id unique")} and tagged.count() == 200
 
 
+def test_many_values_are_not_broadcast_once_per_salt(spark, monkeypatch):
+    """More than ``FEW`` values, in files that look small: a plan does not see that each comes 16 times."""
+    child = spark.range(200).selectExpr("if(id = 7, 8, id) AS id", "if(id < 30, 'no-' || id, 'a') AS a")
+    parent = spark.createDataFrame([("a",)], "k string")
+    c = Constraints(key=("id",), not_null=("id",), references=(Reference("a", "p", "k"),))
+    monkeypatch.setattr(quality, "FEW", 20)
+    tagged = quality.tag_violations(child, c, {"p": parent})
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1  # one repeated id, 30 orphans
+    broken = [tuple(r["violations"]) for r in tagged.where("size(violations) > 0").collect()]
+    assert sorted(broken) == sorted([("a in p",)] * 28 + [("id unique", "a in p")] * 2)
+
+
 def test_a_warehouse_bounds_what_a_scan_task_reads(spark, warehouse):
     key = "spark.sql.files.maxPartitionBytes"
     try:
@@ -234,6 +247,26 @@ def test_a_warehouse_bounds_what_a_scan_task_reads(spark, warehouse):
         spark.conf.unset(key)
 
 
+def test_a_warehouse_bounds_what_is_broadcast_by_guess(spark, warehouse, tmp_path):
+    key, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.range(800_000).selectExpr("'A-' || id AS account_id", "'x' AS country").write.parquet(str(tmp_path / "parent"))
+    parent = spark.read.parquet(str(tmp_path / "parent"))
+    assert 1 << 20 < int(parent.select("account_id")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 10 << 20
+    child = spark.createDataFrame([("A-7",), ("nobody",)], "account_id string")
+    try:
+        for before, after, kept in (("8m", "1m", "8m"), ("256k", "256k", None), ("-1", "-1", None)):
+            spark.conf.unset(measured)
+            spark.conf.set(key, before)
+            warehouse()
+            assert (spark.conf.get(key), spark.conf.get(measured, None)) == (after, kept)
+            orphans = quality.check_fk(child, parent, "account_id", "account_id")
+            assert "BroadcastExchange" not in orphans._jdf.queryExecution().executedPlan().toString()
+            assert [tuple(r) for r in orphans.collect()] == [("nobody", 1)]
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset(measured)
+
+
 def test_an_audit_shuffles_every_value_once(spark):
     child = spark.createDataFrame([(1, 1, "x"), (2, 1, "Y"), (2, 9, "z"), (None, None, "y")], "id int, a int, b string")
     numbers, texts = spark.createDataFrame([(1,), (2,)], "k bigint"), spark.createDataFrame([("y",), ("X",)], "k string")

@@ -236,7 +236,8 @@ def _with_values(rows: DataFrame, values: DataFrame, on: Column) -> DataFrame:
     if values.count() <= FEW:
         return rows.join(F.broadcast(values), on, "left")
     salted = values.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(salted, on & (F.col("_salt") == F.col("_of")), "left")
+    # a plan counts the stored values once, not once per salt, and would broadcast them all
+    return rows.join(salted.hint("merge"), on & (F.col("_salt") == F.col("_of")), "left")
 
 
 def apply_rules(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import order
 from ..operators.quality import apply_rules
 from ..schemas import CLEAN, LAYERS, STAR
-from ..session import bound_scans, delete_folder, materialize, shared_dir
+from ..session import bound_broadcasts, bound_scans, delete_folder, materialize, shared_dir
 from ..sources.keystore import KeyRegistry
 from ..sources.tables import reset_layer, write_table
 from . import dims, facts
@@ -51,8 +51,8 @@ class Warehouse:
     checking to the validation queries. ``keys``, a stored registry, gives all
     surrogate keys, so they outlive any one load. ``buckets`` stores the subscription
     dimension and fact in so many buckets of their common key. Everything a
-    warehouse writes lies under ``root``. The session's scan tasks are kept small
-    (``bound_scans``).
+    warehouse writes lies under ``root``. The session's scan tasks and guessed
+    broadcasts are kept small (``bound_scans``, ``bound_broadcasts``).
     """
 
     def __init__(
@@ -69,6 +69,7 @@ class Warehouse:
         self.spark, self.raw, self.policy, self.buckets, self.known = spark, raw, policy, buckets, known
         self.keys = keys
         bound_scans(spark)
+        bound_broadcasts(spark)
         self.tag = tag if tag is not None else uuid.uuid4().hex[:8]
         self.root = root or f"{shared_dir(spark)}/warehouse-{self.tag}"
         self.clean = Layer(CLEAN, lambda name: self._store("clean", name, CLEANERS[name](self.raw[name])))
