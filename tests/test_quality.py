@@ -236,6 +236,17 @@ def test_many_values_are_not_broadcast_once_per_salt(spark, monkeypatch):
     assert sorted(broken) == sorted([("a in p",)] * 28 + [("id unique", "a in p")] * 2)
 
 
+def test_few_values_of_long_text_are_not_broadcast(spark):
+    """Three orphans of 6 MB in all are sent to the rows, of 18 MB they are not."""
+    parent = spark.createDataFrame([("a",)], "k string")
+    c = Constraints(key=("id",), not_null=("id",), references=(Reference("a", "p", "k"),))
+    for length, merges in ((2_000_000, 0), (6_000_000, 1)):
+        child = spark.range(9).selectExpr("id", f"if(id < 3, id || repeat('x', {length}), 'a') AS a")
+        tagged = quality.tag_violations(child, c, {"p": parent})
+        assert tagged._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == merges
+        assert [r["id"] for r in tagged.where("violations = array('a in p')").select("id").orderBy("id").collect()] == [0, 1, 2]
+
+
 def test_a_warehouse_bounds_what_a_scan_task_reads(spark, warehouse):
     key = "spark.sql.files.maxPartitionBytes"
     try:

@@ -200,8 +200,10 @@ def summed(findings: DataFrame, rule: str) -> DataFrame:
 
 # A value's rows are dealt over so many tasks when they are tagged.
 SALTS = 16
-# Values of one rule (some 100 bytes each in memory) that are sent to every task.
+# Values of one rule (some 100 bytes each in memory, besides their text) that are sent to every task, and the bytes of
+# their texts: the driver holds them all.
 FEW = 200_000
+FEW_BYTES = 16 << 20
 
 
 def tag_violations(
@@ -210,8 +212,8 @@ def tag_violations(
     """Every row with ``violations``, the names of the rules it breaks.
 
     Rows meet the repeated and the orphaned values. These are written and counted
-    first: up to ``FEW`` are sent to the rows, which stay where they are. More of them
-    meet the rows in a shuffle; one value may be that of a third of all rows, so rows
+    first: up to ``FEW``, of ``FEW_BYTES`` at most, are sent to the rows, which stay where
+    they are. More of them meet the rows in a shuffle; one value may be that of a third of all rows, so rows
     carry a salt (a hash of the whole row) and each value comes once per salt.
     """
     failed = [F.expr(f"if(coalesce({p}, true), NULL, '{name}')") for name, p in constraints.row_rules().items()]
@@ -233,7 +235,10 @@ def tag_violations(
 
 
 def _with_values(rows: DataFrame, values: DataFrame, on: Column) -> DataFrame:
-    if values.count() <= FEW:
+    texts = [F.octet_length(f.name) for f in values.schema.fields if isinstance(f.dataType, T.StringType)]
+    text = reduce(lambda a, b: a + b, [F.coalesce(F.sum(t), F.lit(0)) for t in texts], F.lit(0))
+    n, size = values.agg(F.count(F.lit(1)), text).first()
+    if n <= FEW and size <= FEW_BYTES:
         return rows.join(F.broadcast(values), on, "left")
     salted = values.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # a plan counts the stored values once, not once per salt, and would broadcast them all
