@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import lookup_key
+from tidemark.operators.quality import check_fk
 from tidemark.plans import analyses, clean, facts
 
 
@@ -109,6 +110,23 @@ def test_only_report_lines_meet_in_one_task(star, large):
                 assert "Aggregate" in below, (job.__name__, below)
 
 
+def test_a_stored_dimension_is_not_broadcast_for_its_small_files(spark, warehouse, tmp_path):
+    """600,000 accounts in files that count as less than 10 MB: lookups by id and references by key shuffle them."""
+    spark.range(600_000).selectExpr("id AS account_key", "'A-' || id AS account_id", "'x' AS country").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    months = spark.createDataFrame([("a-7", 7), ("a-8", 600_000)], "account_id string, account_key bigint")
+    conf = {"autoBroadcastJoinThreshold": "10m", "adaptive__autoBroadcastJoinThreshold": "10m"}
+    with settings(spark, **conf):
+        # what a plan does by itself with such files
+        assert "BroadcastExchange" in plan(check_fk(months, dim, "account_key", "account_key"))
+        warehouse()
+        orphans = check_fk(months, dim, "account_key", "account_key")
+        keyed = lookup_key(months.drop("account_key"), dim, "account_id", "account_key", "left")
+        assert "BroadcastExchange" not in plan(orphans) and "BroadcastExchange" not in plan(keyed)
+        assert [tuple(r) for r in orphans.collect()] == [(600_000, 1)]
+        assert sorted((r["account_id"], r["account_key"]) for r in keyed.collect()) == [("a-7", 7), ("a-8", 8)]
+
+
 def test_a_hot_account_is_split_over_tasks(spark):
     """A third of the rows on one key: adaptive execution cuts its join partition in pieces."""
     with settings(
