@@ -265,7 +265,7 @@ def test_a_warehouse_bounds_what_is_broadcast_by_guess(spark, warehouse, tmp_pat
     assert 1 << 20 < int(parent.select("account_id")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 10 << 20
     child = spark.createDataFrame([("A-7",), ("nobody",)], "account_id string")
     try:
-        for before, after, kept in (("8m", "1m", "8m"), ("256k", "256k", None), ("-1", "-1", None)):
+        for before, after, kept in (("8m", "128k", "8m"), ("100k", "100k", None), ("-1", "-1", None)):
             spark.conf.unset(measured)
             spark.conf.set(key, before)
             warehouse()
